@@ -228,7 +228,8 @@ def near_duplicates(
     sizes = family.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
     family = family.join(sizes, "root").select("id", F.col("root").alias("family"), F.ceil(F.col("m") / TILE).cast("int").alias("tiles"))
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).where(F.col("t").isNotNull())
-    links = materialize(_links(family.join(text, "id"), shingle_words, num, den, miss, seed), "near-links")
+    # merged at every size: texts are many, and so, in the end, are the members of families
+    links = materialize(_links(family.join(text.hint("merge"), "id"), shingle_words, num, den, miss, seed), "near-links")
     root = connected_components(links).withColumnRenamed("id", "class")
     out = keyed.select("id", "n", "set1", "set2").join(classes, ["n", "set1", "set2"], "left").join(root, "class", "left")
     component = F.when(F.col("n") > 0, F.coalesce("root", "class", "id")).otherwise(F.col("id"))
