@@ -10,6 +10,7 @@ framing. Records whose payload equals that of a smaller id are revisits without
 from __future__ import annotations
 
 import base64
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterator
@@ -144,9 +145,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     """
     kind = "record_id string, origin string, record_type string, page_id long, uri string, refers_to_id string, segment int, total long, block binary"
 
-    def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import gzip
-
+    def split(batches: Iterator[pa.RecordBatch], segmented: bool) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in kind.split(", ")]
         types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.binary()]
         for batch in batches:
@@ -155,6 +154,8 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                 raw = gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw
                 rows, held = [], 0
                 for h, block in parse_warc(raw):
+                    if ("warc-segment-number" in h) != segmented:
+                        continue
                     rid = h["warc-record-id"].strip("<>")
                     page = h.get("x-page-id")
                     rows.append((rid, h.get("warc-segment-origin-id", rid).strip("<>"), h["warc-type"], int(page) if page else None, h.get("warc-target-uri"), (h.get("warc-refers-to") or "").strip("<>") or None, int(h.get("warc-segment-number", 1)), int(h["warc-segment-total-length"]) if "warc-segment-total-length" in h else (len(block) if "warc-segment-number" not in h else None), block))
@@ -166,11 +167,12 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
-    parts = files.mapInArrow(split, kind)
+    fields = F.struct("segment", "block", "record_type", "page_id", "uri", "refers_to_id", "record_id", "total")
+    # only segmented records are dealt out by their origin; the others stay where they were read
+    single = files.mapInArrow(lambda batches: split(batches, False), kind).select(F.array(fields).alias("s"))
     # a record's segments are as many as its own length needs, so the list is bounded by one record
-    whole = parts.groupBy("origin").agg(
-        F.array_sort(F.collect_list(F.struct("segment", "block", "record_type", "page_id", "uri", "refers_to_id", "record_id", "total"))).alias("s"),
-    )
+    many = files.mapInArrow(lambda batches: split(batches, True), kind).groupBy("origin").agg(F.array_sort(F.collect_list(fields)).alias("s"))
+    whole = single.unionAll(many.select("s"))
 
     def assemble(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -223,12 +225,10 @@ def op3_warc(spark, sf_dir: str) -> DataFrame:
     origin = records.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_id")).agg(
         F.min("page_id").alias("refers_to"), F.min("payload_bytes").alias("full"), F.min("payload_digest").alias("digest")
     )
-    again = F.col("record_type") == "revisit"
-    return records.join(origin, "refers_to_id", "left").select(
-        "page_id",
-        F.when(again, F.col("full")).otherwise(F.col("payload_bytes")).alias("payload_bytes"),
-        F.when(again, F.col("digest")).otherwise(F.col("payload_digest")).alias("payload_digest"),
-        "record_type",
-        F.when(again, F.col("refers_to")).alias("refers_to"),
-        "problem",
+    none = F.lit(None).cast("long").alias("refers_to")
+    response = records.where("record_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "record_type", none, "problem")
+    # a revisit has the payload of the record it refers to; only revisits are joined, as others name none
+    revisit = records.where("record_type = 'revisit'").join(origin, "refers_to_id", "left").select(
+        "page_id", F.col("full").alias("payload_bytes"), F.col("digest").alias("payload_digest"), "record_type", "refers_to", "problem"
     )
+    return response.unionAll(revisit)
