@@ -89,7 +89,8 @@ def score_by_difference(docs: DataFrame, target_ids: DataFrame, vocabulary: int
             yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(both[0][part]), pa.array(both[1][part])], names=["pair", "n", "n_target"])
 
     chosen = target_ids.select(F.col("doc_id").cast("long").alias("id")).distinct().withColumn("chosen", F.lit(True))
-    marked = base.join(chosen, "id", "left").select("t", F.coalesce("chosen", F.lit(False)).alias("chosen"))
+    # merged at every size: texts are many, and so are the target's ids
+    marked = base.hint("merge").join(chosen, "id", "left").select("t", F.coalesce("chosen", F.lit(False)).alias("chosen"))
     pairs = marked.mapInArrow(count_pairs, "pair long, n long, n_target long").groupBy("pair").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
     table = pairs.toArrow()  # at most size ** 2 rows
     counts = np.zeros((2, size * size))
