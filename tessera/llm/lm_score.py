@@ -65,7 +65,7 @@ def score_by_difference(docs: DataFrame, target_ids: DataFrame, vocabulary: int
 
     def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, _, data, off in text_slices(batch, "t", 1 << 23):
+            for _, _, data, off in text_slices(batch, "t", 1 << 22):
                 h, n = np.unique(Words(data, off).hash, return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"])
 
