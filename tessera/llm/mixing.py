@@ -100,7 +100,7 @@ def mix_sources(
     s = s.withColumn("sid", F.row_number().over(Window.orderBy(F.col("src").asc_nulls_last())) - 1)
     s = water_fill(s.withColumn("weight", F.col("sid") % 3 + 1), cap)
     s = s.withColumn("blocks", F.expr(f"(size + {block_words - 1}L) div {block_words}L"))
-    quota = F.least(F.round(F.col("target") * F.col("blocks") / F.col("size")), F.floor(F.lit(cap) * F.col("blocks")))
+    quota = F.least(F.round(F.try_divide(F.col("target") * F.col("blocks"), F.col("size"))), F.floor(F.lit(cap) * F.col("blocks")))
     sources = materialize(s.withColumn("quota", F.coalesce(quota, F.lit(0)).cast("long")), "mix-sources")
 
     total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
