@@ -38,10 +38,11 @@ def warc_records(pages: DataFrame, min_bytes: int, segment_chars: int, chunk_cha
     """(record string without its closing blank lines, n) for each record; n spreads the records over files."""
     p = pages.select(
         F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("body")
-    ).withColumn("sha", F.sha1(F.col("body").cast("binary")))
+    ).withColumn("sha", F.unhex(F.sha1(F.col("body").cast("binary"))))
     p = p.withColumn("uri", F.regexp_replace(F.regexp_replace("url", "[\r\n]", " "), "^$", "about:blank")).drop("url")
-    # for each payload the smallest id: counts per task first, so a payload that many pages share is no hot group
-    first = p.where(F.octet_length("body") >= min_bytes).groupBy("sha").agg(F.min("page_id").alias("first"))
+    # for each payload the smallest id, from partial minima of each task; as a table of its own, so that the join below
+    # meets two plain exchanges, whose hot partitions Spark splits
+    first = materialize(p.where(F.octet_length("body") >= min_bytes).groupBy("sha").agg(F.min("page_id").alias("first")), "warc-first")
     p = p.join(first, "sha", "left").withColumn("again", F.coalesce((F.octet_length("body") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first")), F.lit(False)))
     rid = _uuid_of(F.lit("response"), F.coalesce(F.col("page_id").cast("string"), F.concat(F.lit("null"), F.col("uri"))))
     chunk = lambda x: F.concat(F.lower(F.conv(F.octet_length(x).cast("string"), 10, 16)), F.lit(CRLF), x, F.lit(CRLF))
