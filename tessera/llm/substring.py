@@ -141,11 +141,12 @@ def factor_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary"))).alias("key"), F.col(text_col).alias("t"))
     seen = materialize(rows.mapInArrow(survey, "id long, key binary, n long, whole string, anchors array<long>"), "rlz-survey")
     long_enough = seen.where(F.col("id").isNotNull() & (F.col("n") >= k))
-    classes = long_enough.groupBy("key").agg(F.min("id").alias("class"))
+    # aggregates that are joined again are tables of their own: a join of two plain exchanges can split hot partitions
+    classes = materialize(long_enough.groupBy("key").agg(F.min("id").alias("class")), "rlz-classes")
     # one row of each class; a repeated id with the same text gives equal rows
     reps = long_enough.join(classes, "key").where("id = class").select("id", "key", "anchors").dropDuplicates(["id", "key"])
     occurs = reps.select("id", "key", F.explode("anchors").alias("anchor"))
-    shared = occurs.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("anchor")
+    shared = materialize(occurs.groupBy("anchor").agg(F.min("id").alias("lo"), F.max("id").alias("hi")).where("lo < hi").select("anchor"), "rlz-anchors")
     wanted = occurs.join(shared, "anchor").groupBy("id", "key").agg(F.collect_set("anchor").alias("anchors"))
     text = rows.where("id is not null").join(wanted, ["id", "key"]).dropDuplicates(["id", "key"])
     indexed = materialize(
@@ -154,7 +155,7 @@ def factor_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     window_rows = indexed.select("id", "key", F.explode(F.arrays_zip("starts", "hashes")).alias("w")).select(
         "id", "key", F.col("w.starts").alias("start"), F.col("w.hashes").alias("h")
     )
-    first = window_rows.groupBy("h").agg(F.min("id").alias("ref"), F.max("id").alias("hi")).where("ref < hi").select("h", "ref")
+    first = materialize(window_rows.groupBy("h").agg(F.min("id").alias("ref"), F.max("id").alias("hi")).where("ref < hi").select("h", "ref"), "rlz-windows")
     hits = window_rows.join(first, "h").where("ref < id").groupBy("id", "key").agg(F.sort_array(F.collect_list(F.struct("start", "ref"))).alias("hits"))
     parsed = indexed.select("id", "key", "t").join(hits, ["id", "key"]).mapInArrow(
         parse, "id long, key binary, removed long, sha string, factors array<struct<start: int, n_words: int, ref_id: long>>"
