@@ -219,10 +219,11 @@ def near_duplicates(
     read. An empty table gives no rows.
     """
     keyed = materialize(band_keys(docs, id_col, text_col, shingle_words, num / den, seed), "near-keys")
-    classes = keyed.where("n > 0 and id is not null").groupBy("n", "set1", "set2").agg(F.min("id").alias("class"))
+    # aggregates that are joined again are tables of their own: a join of two plain exchanges can split hot partitions
+    classes = materialize(keyed.where("n > 0 and id is not null").groupBy("n", "set1", "set2").agg(F.min("id").alias("class")), "near-classes")
     reps = keyed.select("id", "keys", "n", "set1", "set2").join(classes, ["n", "set1", "set2"]).where("id = class")
     under = reps.select("id", F.explode("keys").alias("key"))
-    shared = under.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last").select("key", "lead")
+    shared = materialize(under.groupBy("key").agg(F.min("id").alias("lead"), F.max("id").alias("last")).where("lead < last").select("key", "lead"), "near-shared")
     star = under.join(shared, "key").where("id != lead").select(F.col("lead").alias("a"), F.col("id").alias("b")).distinct()
     family = connected_components(star)
     sizes = family.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
