@@ -54,3 +54,16 @@ def test_nulls_and_empty(spark):
     df = spark.createDataFrame([(None, 0, None), (None, 1, 3.0)], "split string, pos long, s double")
     assert [r["batch_id"] for r in folds.padded_batches(df, "split", ["pos"], "s", 5.0).orderBy("pos").collect()] == [0, 1]
     assert folds.padded_batches(df.where(F.lit(False)), "split", ["pos"], "s", 5.0).count() == 0
+
+
+@pytest.mark.parametrize("chunk_rows", [1, 7, 40])
+def test_chunks_agree_with_one_run(spark, chunk_rows):
+    r = np.random.default_rng(6)
+    df = frame(spark, {"a": (r.integers(1, 400, 300) / 16).tolist(), "b": [0.25] * 100, "c": [9.0]})
+    df = df.withColumn("file", F.expr(f"format_string('f-%05d', pos div {chunk_rows})"))
+
+    def shards(**options):
+        batches = folds.padded_batches(df, "split", ["file", "pos"], "s", 60.0, **options)
+        return sorted(tuple(x) for x in folds.duration_shards(batches, "split", ["file", "pos"], "s", 90.0, **options).select("split", "pos", "batch_id", "shard_index").collect())
+
+    assert shards(single_chunk_rows=0) == shards()
