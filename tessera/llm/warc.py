@@ -31,7 +31,8 @@ def base32(digest: bytes) -> str:
 
 def _uuid_of(*cols) -> Column:
     h = F.md5(F.concat_ws("|", *cols))
-    return F.concat(F.lit("urn:uuid:"), F.regexp_replace(h, "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5"))
+    parts = [F.substring(h, at + 1, n) for at, n in ((0, 8), (8, 4), (12, 4), (16, 4), (20, 12))]
+    return F.concat(F.lit("urn:uuid:"), F.concat_ws("-", *parts))
 
 
 def warc_records(pages: DataFrame, min_bytes: int, segment_chars: int, chunk_chars: int, date: str) -> DataFrame:
@@ -52,7 +53,8 @@ def warc_records(pages: DataFrame, min_bytes: int, segment_chars: int, chunk_cha
     )
     http = F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Transfer-Encoding: chunked{CRLF}{CRLF}")
     block = F.concat(http, F.array_join(F.transform(pieces, chunk), ""), F.lit(f"0{CRLF}{CRLF}"))
-    p = p.withColumn("rid", rid).withColumn("block", F.when(F.col("again"), F.lit(f"HTTP/1.1 200 OK{CRLF}{CRLF}")).otherwise(block))
+    target = F.when(F.col("again"), _uuid_of(F.lit("response"), F.col("first").cast("string")))
+    p = p.withColumn("rid", rid).withColumn("target", target).withColumn("block", F.when(F.col("again"), F.lit(f"HTTP/1.1 200 OK{CRLF}{CRLF}")).otherwise(block))
     n_seg = F.greatest(F.lit(1), F.ceil(F.length("block") / F.lit(segment_chars)).cast("int"))
     seg = p.withColumn("total", F.octet_length("block")).withColumn("segs", n_seg).withColumn("i", F.explode(F.sequence(F.lit(1), F.col("segs"))))
     seg = seg.withColumn("part", F.substring(F.col("block"), (F.col("i") - 1) * segment_chars + 1, F.lit(segment_chars)))
@@ -68,7 +70,7 @@ def warc_records(pages: DataFrame, min_bytes: int, segment_chars: int, chunk_cha
         line("WARC-Date", F.lit(date)), line("WARC-Target-URI", F.col("uri")),
         opt(has_id & start, "X-Page-ID", F.col("page_id").cast("string")),
         opt(start & F.col("again"), "WARC-Profile", F.lit("http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")),
-        opt(start & F.col("again"), "WARC-Refers-To", F.concat(F.lit("<"), _uuid_of(F.lit("response"), F.col("first").cast("string")), F.lit(">"))),
+        opt(start & F.col("again"), "WARC-Refers-To", F.concat(F.lit("<"), F.col("target"), F.lit(">"))),
         opt(split, "WARC-Segment-Number", F.col("i").cast("string")),
         opt(~start, "WARC-Segment-Origin-ID", F.concat(F.lit("<"), F.col("rid"), F.lit(">"))),
         opt(split & (F.col("i") == F.col("segs")), "WARC-Segment-Total-Length", F.col("total").cast("string")),
