@@ -33,7 +33,8 @@ class Mixture:
         """documents with taken: the words the mix takes of each row, repeats counted."""
         draws = self.slots.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("copies"))
         # a row with words is known by where it begins in its source's stream, also when its id repeats
-        by_row = self.pieces.join(draws, ["sid", "block"]).groupBy("sid", "off").agg(F.sum(F.col("copies") * F.col("n_words")).alias("taken"))
+        # merged: Spark's size estimate of exploded rows is that of the rows before, which may look small enough to broadcast
+        by_row = self.pieces.hint("merge").join(draws, ["sid", "block"]).groupBy("sid", "off").agg(F.sum(F.col("copies") * F.col("n_words")).alias("taken"))
         return self.documents.join(by_row, ["sid", "off"], "left").withColumn(
             "taken", F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(F.lit(0)).cast("long")
         )
@@ -41,14 +42,14 @@ class Mixture:
     def block_texts(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
         """The mixture itself: shard, slot, and the block's words joined by one space."""
         words = F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1))
-        cut = self.pieces.join(docs.select(F.col(id_col).alias("id"), words.alias("w")), "id").select(
+        cut = self.pieces.hint("merge").join(docs.select(F.col(id_col).alias("id"), words.alias("w")), "id").select(
             "sid", "block", F.struct("n_before", F.slice("w", F.col("from_word") + 1, F.col("n_words").cast("int")).alias("w")).alias("p")
         )
         # at most one piece per word of the block, so this list is bounded by the block length
         whole = cut.groupBy("sid", "block").agg(F.array_sort(F.collect_list("p")).alias("p")).select(
             "sid", "block", F.array_join(F.flatten(F.col("p.w")), " ").alias("text")
         )
-        return self.slots.join(whole, ["sid", "block"]).select("shard", "slot", "text")
+        return self.slots.hint("merge").join(whole, ["sid", "block"]).select("shard", "slot", "text")
 
 
 def water_fill(sources: DataFrame, cap: float) -> DataFrame:
@@ -142,7 +143,7 @@ def _slots(sources: DataFrame, per_shard: int, seed: int, rows_per_tile: int, ce
         "sid", F.expr("quota - coalesce(k, 0L)").alias("d")
     ).where("d > 0")
     short = running_base(short, [], "sid", "d", "at")
-    moved = free.select("shard", F.explode(F.expr("sequence(at, at + f - 1)")).alias("o")).join(
+    moved = free.select("shard", F.explode(F.expr("sequence(at, at + f - 1)")).alias("o")).hint("merge").join(
         short.select("sid", F.explode(F.expr("sequence(at, at + d - 1)")).alias("o")), "o"
     )
     settled = counts.select("shard", "sid", F.col("kept").alias("n")).unionByName(moved.select("shard", "sid", F.lit(1).cast("long").alias("n")))
@@ -166,7 +167,7 @@ def _slots(sources: DataFrame, per_shard: int, seed: int, rows_per_tile: int, ce
     perm = b.withColumn("r", rank).join(tiles.select("sid", "tile", "before"), ["sid", "tile"]).select(
         "sid", "block", (F.col("r") + F.col("before") - 1).alias("j")
     )
-    return draws.join(perm, ["sid", "j"]).select("shard", "slot", "sid", "block")
+    return draws.hint("merge").join(perm, ["sid", "j"]).select("shard", "slot", "sid", "block")
 
 
 def mixed_documents(docs: DataFrame, seed: int = 29, **options) -> DataFrame:
