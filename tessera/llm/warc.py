@@ -80,7 +80,7 @@ def warc_records(pages: DataFrame, min_bytes: int, segment_chars: int, chunk_cha
     return seg.select(record.alias("value"))
 
 
-def write_warc(pages: DataFrame, path: str | None = None, min_bytes: int = 0, segment_chars: int = 8192, chunk_chars: int = 2048, file_bytes: int = 32 << 20, date: str = "2024-01-01T00:00:00Z") -> str:
+def write_warc(pages: DataFrame, path: str | None = None, min_bytes: int = 0, segment_chars: int = 8192, chunk_chars: int = 2048, file_bytes: int = 32 << 20, date: str = "2024-01-01T00:00:00Z", level: str = "BEST_SPEED") -> str:
     """Write gzip WARC files (through Spark's writer, so to any store) and return their folder.
 
     A null html is an empty payload, a null url ``about:blank``. Pages that repeat an id get equal record ids.
@@ -89,7 +89,9 @@ def write_warc(pages: DataFrame, path: str | None = None, min_bytes: int = 0, se
     path = path or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
     records = warc_records(pages, min_bytes, segment_chars, chunk_chars, date)
     # files are read whole, so their size is bounded: every record is at most a segment and its header
-    records.write.option("lineSep", RECORD_END).option("compression", "gzip").option("maxRecordsPerFile", max(1, file_bytes // (segment_chars + 1000))).text(path)
+    records.write.option("lineSep", RECORD_END).option("compression", "gzip").option("zlib.compress.level", level).option(
+        "maxRecordsPerFile", max(1, file_bytes // (segment_chars + 1000))
+    ).text(path)
     return path
 
 
