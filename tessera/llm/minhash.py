@@ -3,11 +3,15 @@
 Rows with equal shingle sets form one class, known by its smallest id; all that follows is on classes.
 A class goes under its band keys; classes that share a key belong to one family (found as connected
 components of the stars of all keys), and only classes of a family can be linked. A family is cut into
-tiles of bounded size; each pair of tiles is one unit of work that compares signatures in batches,
+tiles of bounded size; a tile, or a pair of tiles, is one unit of work that compares signatures in batches,
 drops a pair once the posterior chance that its similarity reaches the threshold is below the chosen
 miss probability, and confirms what is left on full shingle sets. Pairs exist only as array entries
 within a unit: a unit gives back at most one link for each class, from its local component's smallest
 id. Linked pairs, not keys, decide the components.
+
+Tiles are first compared within themselves, at a cost that grows with the family, not its square. Many near
+copies of one text are one component after that. Only where a family still has several components are
+tiles compared with each other, and then only pairs across components: a further link within one can't change it.
 """
 
 from __future__ import annotations
@@ -17,7 +21,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Words, list_column, materialize, mix64, shingles, text_slices
@@ -126,18 +130,18 @@ class _Forest:
         return i
 
 
-def link_unit(ids: np.ndarray, side: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], num: int, den: int, least: list[int]) -> list[tuple[int, int]]:
-    """Links of one unit: (smallest id, id) for each other member of a local component of confirmed pairs.
+def link_unit(comp: np.ndarray, side: np.ndarray, sig: np.ndarray, sets: list[np.ndarray], num: int, den: int, least: list[int]) -> list[tuple[int, int]]:
+    """Links of one unit between components known so far: (smallest, other) for each other member of a local group of confirmed pairs.
 
-    side 0 and 1 are the two tiles (only pairs across count), or all 0 within one tile.
+    side 0 and 1 are the two tiles (only pairs across count), or all 0 within one tile. Pairs of one component are not compared.
     """
     if side.any():
         i, j = (x.ravel() for x in np.meshgrid(np.flatnonzero(side == 0), np.flatnonzero(side == 1), indexing="ij"))
     else:
-        i, j = np.triu_indices(len(ids), 1)
+        i, j = np.triu_indices(len(comp), 1)
     n = np.array([len(s) for s in sets])
     # |A & B| <= min and |A | B| >= max, so this can't lose a pair
-    can = np.minimum(n[i], n[j]) * den >= num * np.maximum(n[i], n[j])
+    can = (comp[i] != comp[j]) & (np.minimum(n[i], n[j]) * den >= num * np.maximum(n[i], n[j]))
     i, j = i[can], j[can]
     got = np.zeros(len(i), np.int32)
     for step, need in enumerate(least):
@@ -146,22 +150,23 @@ def link_unit(ids: np.ndarray, side: np.ndarray, sig: np.ndarray, sets: list[np.
             got[c : c + (1 << 16)] += (sig[i[c : c + (1 << 16)], part] == sig[j[c : c + (1 << 16)], part]).sum(1, dtype=np.int32)
         keep = got >= need
         i, j, got = i[keep], j[keep], got[keep]
-    forest = _Forest(len(ids))
+    names, where = np.unique(comp, return_inverse=True)
+    forest = _Forest(len(names))
     for p in np.argsort(-got, kind="stable"):
         x, y = int(i[p]), int(j[p])
-        a, b = forest.root(x), forest.root(y)
+        a, b = forest.root(int(where[x])), forest.root(int(where[y]))
         if a != b:
             both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
             if den * both >= num * (n[x] + n[y] - both):
                 forest.up[b] = a
     groups: dict[int, list[int]] = {}
-    for x in range(len(ids)):
-        groups.setdefault(forest.root(x), []).append(int(ids[x]))
+    for x, name in enumerate(names.tolist()):
+        groups.setdefault(forest.root(x), []).append(name)
     return [(min(g), x) for g in groups.values() if len(g) > 1 for x in g if x != min(g)]
 
 
-def _links(family_docs: DataFrame, k: int, num: int, den: int, miss: float, seed: int) -> DataFrame:
-    """Confirmed links (a, b) among (family, tiles, id, t)."""
+def _links(placed: DataFrame, k: int, num: int, den: int, miss: float, seed: int) -> DataFrame:
+    """Confirmed links (a, b) between components of (family, comp, tile, others, t); others are the tiles a row meets."""
     least = fewest_matches(num / den, miss)
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -172,21 +177,21 @@ def _links(family_docs: DataFrame, k: int, num: int, den: int, miss: float, seed
                 sig = (_minima(np.concatenate(sets), begin, seed) & np.uint32(0xFFFF)).astype(np.uint16)
                 part = batch.slice(a, b - a)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), part.column(2), pa.array([s.tobytes() for s in sig], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
-                    names=["family", "tiles", "id", "sig", "items"],
+                    [*part.columns[:4], pa.array([s.tobytes() for s in sig], pa.binary()), pa.array([s.tobytes() for s in sets], pa.binary())],
+                    names=["family", "comp", "tile", "others", "sig", "items"],
                 )
 
     def unit(rows: list[tuple]) -> list[tuple[int, int]]:
-        ids = np.array([r[0] for r in rows])
+        comp = np.array([r[0] for r in rows])
         side = np.array([r[1] for r in rows])
         sig = np.frombuffer(b"".join(r[2] for r in rows), np.uint16).reshape(len(rows), HASHES)
-        return link_unit(ids, side, sig, [np.frombuffer(r[3], np.uint64) for r in rows], num, den, least)
+        return link_unit(comp, side, sig, [np.frombuffer(r[3], np.uint64) for r in rows], num, den, least)
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         # rows come sorted by unit; a unit has two tiles at most
         at, rows, out = None, [], []
         for batch in batches:
-            cols = [batch.column(n).to_pylist() for n in ("family", "t1", "t2", "id", "side", "sig", "items")]
+            cols = [batch.column(n).to_pylist() for n in ("family", "t1", "t2", "comp", "side", "sig", "items")]
             for f, t1, t2, *row in zip(*cols, strict=True):
                 if (f, t1, t2) != at:
                     out += unit(rows) if len(rows) > 1 else []
@@ -198,16 +203,40 @@ def _links(family_docs: DataFrame, k: int, num: int, den: int, miss: float, seed
         out += unit(rows) if len(rows) > 1 else []
         yield pa.RecordBatch.from_arrays([pa.array([x[s] for x in out], pa.int64()) for s in (0, 1)], names=["a", "b"])
 
-    coded = family_docs.select("family", "tiles", "id", "t").mapInArrow(encode, "family long, tiles int, id long, sig binary, items binary")
-    tile = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
-    units = (
-        coded.withColumn("tile", tile)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("tiles") - 1)))
-        .select("family", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "id", (F.col("tile") > F.col("other")).cast("int").alias("side"), "sig", "items")
+    coded = placed.select("family", "comp", "tile", "others", "t").mapInArrow(encode, "family long, comp long, tile int, others array<int>, sig binary, items binary")
+    units = coded.withColumn("other", F.explode("others")).select(
+        "family", F.least("tile", "other").alias("t1"), F.greatest("tile", "other").alias("t2"), "comp", (F.col("tile") > F.col("other")).cast("int").alias("side"), "sig", "items"
     )
     return units.repartition("family", "t1", "t2").sortWithinPartitions("family", "t1", "t2").mapInArrow(link, "a long, b long")
 
 
+def _apart(members: DataFrame, root: DataFrame) -> DataFrame:
+    """(family, comp, id, tile, others) of the families whose members are in several components, ready for ``_links``.
+
+    A component of half a tile or more has tiles of its own, which don't meet each other; the members of all
+    smaller ones share tiles, which meet every tile.
+    """
+    m = members.join(root.select("id", F.col("root").alias("comp")), "id", "left").select("id", "family", F.coalesce("comp", "id").alias("comp"))
+    m = materialize(m, "near-members")
+    sizes = m.groupBy("family", "comp").agg(F.count(F.lit(1)).alias("n"))
+    own = F.when(F.col("n") * 2 >= TILE, F.ceil(F.col("n") / TILE)).otherwise(F.lit(0)).cast("int")
+    sizes = materialize(sizes.withColumn("own", own), "near-sizes")
+    whole = sizes.groupBy("family").agg(
+        F.count(F.lit(1)).alias("comps"), F.sum("own").cast("int").alias("owned"), F.ceil(F.sum(F.when(F.col("own") == 0, F.col("n")).otherwise(F.lit(0))) / TILE).cast("int").alias("shared")
+    ).where("comps > 1").select("family", "shared", (F.col("shared") + F.col("owned")).alias("tiles"))
+    before = Window.partitionBy("family").orderBy("comp").rowsBetween(Window.unboundedPreceding, -1)
+    ranges = sizes.where("own > 0").select("family", "comp", "own", F.coalesce(F.sum("own").over(before), F.lit(0)).cast("int").alias("at"))
+    ranges = materialize(ranges, "near-ranges")
+    placed = m.join(whole, "family").join(ranges, ["family", "comp"], "left").withColumn("at", F.col("at") + F.col("shared"))
+    spread = lambda n: F.pmod(F.xxhash64(F.lit(1), "id"), n).cast("int")
+    every = F.sequence(F.lit(0), F.col("tiles") - 1)
+    return placed.select(
+        "family", "comp", "id",
+        F.when(F.col("at").isNull(), spread(F.col("shared"))).otherwise(F.col("at") + spread(F.col("own"))).cast("int").alias("tile"),
+        F.when(F.col("at").isNull(), every).otherwise(F.filter(every, lambda i: (i < F.col("at")) | (i >= F.col("at") + F.col("own")))).alias("others"),
+    )
+
+
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 5, num: int = 80, den: int = 100, miss: float = 1e-6, seed: int = 41
 ) -> DataFrame:
@@ -230,8 +259,19 @@ def near_duplicates(
     family = family.join(sizes, "root").select("id", F.col("root").alias("family"), F.ceil(F.col("m") / TILE).cast("int").alias("tiles"))
     text = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).where(F.col("t").isNotNull())
     # merged at every size: texts are many, and so, in the end, are the members of families
-    links = materialize(_links(family.join(text.hint("merge"), "id"), shingle_words, num, den, miss, seed), "near-links")
-    root = connected_components(links).withColumnRenamed("id", "class")
+    # written once, so that a second comparison reads and shuffles texts of families alone
+    near = materialize(family.join(text.hint("merge"), "id"), "near-texts")
+    tile = F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")
+    link = lambda placed: materialize(_links(placed, shingle_words, num, den, miss, seed), "near-links")
+    root = connected_components(link(near.select("family", F.col("id").alias("comp"), tile.alias("tile"), F.array(tile).alias("others"), "t")))
+    wide = family.where("tiles > 1").select("id", "family")
+    if wide.limit(1).count():
+        apart = materialize(_apart(wide, root), "near-apart")
+        if apart.limit(1).count():
+            top = connected_components(link(apart.join(near.select("id", "t").hint("merge"), "id"))).select(F.col("id").alias("comp"), F.col("root").alias("top"))
+            known = family.select("id").join(root, "id", "left").select("id", F.coalesce("root", "id").alias("comp"))
+            root = known.join(top, "comp", "left").select("id", F.coalesce("top", "comp").alias("root"))
+    root = root.withColumnRenamed("id", "class")
     out = keyed.select("id", "n", "set1", "set2").join(classes, ["n", "set1", "set2"], "left").join(root, "class", "left")
     component = F.when(F.col("n") > 0, F.coalesce("root", "class", "id")).otherwise(F.col("id"))
     out = out.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), component).alias("component_id"))

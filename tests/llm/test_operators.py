@@ -123,6 +123,31 @@ def test_near_duplicates_in_tiles(spark, monkeypatch):
     assert {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in got} == brute.components(texts, 3, 85, 100)
 
 
+@pytest.mark.parametrize("tile", [2, 8, 64])
+def test_near_duplicates_across_components(spark, monkeypatch, tile):
+    """A family of a large group, chains whose ends aren't alike, and texts that only share candidates."""
+    r = random.Random(11)
+    base = prose(r, 200)
+    texts = [edited(r, base, 1) for _ in range(60)] + [edited(r, base, r.randrange(8, 30)) for _ in range(30)]
+    for _ in range(3):
+        step = edited(r, base, 12)
+        for _ in range(12):
+            step = edited(r, step, 4)
+            texts.append(step)
+    ids = list(range(len(texts)))
+    r.shuffle(ids)
+    rows = list(zip(ids, texts, strict=True))
+    monkeypatch.setattr(minhash, "TILE", tile)
+    met = []
+    plain = minhash._apart
+    monkeypatch.setattr(minhash, "_apart", lambda *a: met.append(plain(*a)) or met[-1])
+    got = {x["doc_id"]: (x["n_shingles"], x["component_id"]) for x in minhash.near_duplicates(docs_frame(spark, rows), shingle_words=3, num=85).collect()}
+    assert got == brute.components(rows, 3, 85, 100) and len({c for _, c in got.values()}) > 3
+    # tiles meet both ways, and never those of their own component
+    at = met[0].collect()
+    assert {(x["family"], x["tile"], o) for x in at for o in x["others"]} >= {(x["family"], o, x["tile"]) for x in at for o in x["others"] if any(y["tile"] == o for y in at)}
+
+
 def test_near_duplicates_of_nulls_and_repeats(spark):
     rows = [(None, "a b c"), (None, None), (3, "a b c"), (3, "a b c"), (7, "A B C"), (9, None)]
     got = sorted((str(r["doc_id"]), r["n_shingles"], r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs_frame(spark, rows), shingle_words=3, num=85).collect())
