@@ -59,11 +59,24 @@ def hash60(h: Column) -> Column:
     return F.shiftrightunsigned(h, 4)
 
 
-def running_base(tiles: DataFrame, group: list[str], tile: str, value: str, out: str) -> DataFrame:
-    """Sum of ``value`` over the smaller tiles of the same group; ``tiles`` has a row per group and tile."""
-    w = Window.orderBy(tile).rowsBetween(Window.unboundedPreceding, -1)
-    w = w.partitionBy(*group) if group else w
-    return tiles.withColumn(out, F.coalesce(F.sum(value).over(w), F.lit(0)).cast("long"))
+def running_base(tiles: DataFrame, group: list[str], tile: str, value: str, out: str, per_block: int = 4096) -> DataFrame:
+    """Adds the sum of ``value`` over the smaller tiles of the same group, null being a group of its own.
+
+    ``tiles`` has a row per group and tile (an integer from 0). Sums run within blocks of tiles, then over
+    the blocks' totals, so one task sees no more than a block's tiles, or a total per block.
+    """
+    before = lambda *by: Window.partitionBy(*by).rowsBetween(Window.unboundedPreceding, -1)
+    # read twice below, so written once
+    tiles = materialize(tiles, "tile-totals")
+    block = F.expr(f"{tile} div {per_block}L").alias("_block")
+    totals = tiles.groupBy(*group, block).agg(F.sum(value).alias("_total"))
+    at = F.coalesce(F.sum("_total").over(before(*group).orderBy("_block")), F.lit(0))
+    totals = totals.select(*[F.col(g).alias(f"_of_{g}") for g in group], F.col("_block").alias("_of"), at.alias("_at"))
+    inside = tiles.select("*", block).withColumn("_in", F.coalesce(F.sum(value).over(before(*group, "_block").orderBy(tile)), F.lit(0)))
+    same = F.col("_block") == F.col("_of")
+    for g in group:
+        same = same & F.col(g).eqNullSafe(F.col(f"_of_{g}"))
+    return inside.hint("merge").join(totals, same).select(*tiles.columns, (F.col("_in") + F.col("_at")).cast("long").alias(out))
 
 
 # ---------------------------------------------------------------- words as arrays

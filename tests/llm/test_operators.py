@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tessera.llm import ann, decontaminate, lm_score, minhash, mixing, pii, quality, sharding, substring, warc
-from tessera.llm.common import materialize
+from tessera.llm.common import materialize, running_base
 from tessera.llm.graph import connected_components
 
 from . import brute
@@ -48,6 +48,15 @@ def corpus():
     return list(zip(ids, out, strict=True))
 
 
+@pytest.mark.parametrize("group", [[], ["g"]])
+def test_running_base(spark, group):
+    r = random.Random(3)
+    rows = [(g, t, r.randrange(9)) for g in (("a", "b", None) if group else (None,)) for t in r.sample(range(90), 40)]
+    got = running_base(spark.createDataFrame(rows, "g string, tile long, n long"), group, "tile", "n", "base", per_block=8).collect()
+    assert {(x["g"], x["tile"], x["n"], x["base"]) for x in got} == {(g, t, n, sum(m for h, u, m in rows if h == g and u < t)) for g, t, n in rows}
+    assert len(got) == len(rows)
+
+
 def test_shards_are_even_and_mixed(spark, corpus):
     df = docs_frame(spark, corpus * 8)
     got = sharding.stratified_shards(df, 7, rows_per_tile=16).collect()
