@@ -151,9 +151,9 @@ def _slots(sources: DataFrame, per_shard: int, seed: int, rows_per_tile: int, ce
     settled = running_base(settled, ["sid"], "shard", "n", "draw")
     in_shard = Window.partitionBy("shard").orderBy("sid").rowsBetween(Window.unboundedPreceding, -1)
     settled = settled.withColumn("slot0", F.coalesce(F.sum("n").over(in_shard), F.lit(0)))
-    draws = settled.select("shard", "sid", "slot0", "draw", F.explode(F.expr("sequence(0L, n - 1)")).alias("i")).join(
-        sources.select("sid", "blocks"), "sid"
-    ).select(
+    # joined before the rows are exploded, as Spark's size estimate of exploded rows is that of the rows before
+    settled = settled.join(sources.select("sid", "blocks"), "sid")
+    draws = settled.select("shard", "sid", "slot0", "draw", "blocks", F.explode(F.expr("sequence(0L, n - 1)")).alias("i")).select(
         "shard", (F.col("slot0") + F.col("i")).alias("slot"), "sid",
         # each pass over the source starts elsewhere in its permutation
         F.expr(f"pmod((draw + i) % blocks + pmod(xxhash64({seed}, sid, (draw + i) div blocks), blocks), blocks)").alias("j"),
@@ -164,7 +164,7 @@ def _slots(sources: DataFrame, per_shard: int, seed: int, rows_per_tile: int, ce
     b = b.withColumn("h", hash60(F.xxhash64(F.lit(seed + 2), "sid", "block"))).withColumn("tile", hash_tile(F.col("h"), bits))
     tiles = running_base(b.groupBy("sid", "tile").agg(F.count(F.lit(1)).alias("n")), ["sid"], "tile", "n", "before")
     rank = F.row_number().over(Window.partitionBy("sid", "tile").orderBy("h", "block"))
-    perm = b.withColumn("r", rank).join(tiles.select("sid", "tile", "before"), ["sid", "tile"]).select(
+    perm = b.withColumn("r", rank).hint("merge").join(tiles.select("sid", "tile", "before"), ["sid", "tile"]).select(
         "sid", "block", (F.col("r") + F.col("before") - 1).alias("j")
     )
     return draws.hint("merge").join(perm, ["sid", "j"]).select("shard", "slot", "sid", "block")
