@@ -20,16 +20,18 @@ from .common import materialize
 
 KINDS = ("email", "ip", "card", "phone")
 # A match of these patterns always begins where its run of characters does, or where the match before it
-# ended; saying so keeps long runs without a match from being tried from every character.
+# ended; saying so keeps long runs without a match from being tried from every character. Repeats are
+# possessive where nothing after them could need what they took: Java matches a greedy group by recursion,
+# so a domain of many thousand parts would overflow the stack and end the executor.
 _LOCAL = "[A-Za-z0-9._%+-]"
 BASE = {
-    "email": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
     "card": r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 MORE = {
-    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++\x20?(?:\(at\)|\[at\]|\{at\})\x20?[a-z0-9-]+(?:\x20?(?:\.|\(dot\)|\[dot\]|\{dot\})\x20?[a-z0-9-]+)+",
+    "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++\x20?(?:\(at\)|\[at\]|\{at\})\x20?[a-z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\]|\{dot\})\x20?[a-z0-9-]++)++",
     "ip": r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9.])[0-9]{4}(?:[.\x20_/-]{1,2}[0-9]{4}){3}(?![0-9])",
     "phone": r"(?<![0-9+])(?:\(0?[0-9]{2,4}\)|0{1,2}[0-9]{1,4}|[0-9]{3})[\x20./-][0-9]{3,4}[\x20./-][0-9]{3,4}(?![0-9])",
