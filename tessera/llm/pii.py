@@ -108,8 +108,10 @@ def _spans(proposals: DataFrame) -> DataFrame:
     s = s.withColumn("base", (F.col("gen") == 1) & valid).withColumn("digits", n)
     # proposals of the base's own patterns that fail their check are no candidates, save cards: those differ in a digit only
     s = s.where(F.col("base") | (F.col("gen") == 0) | ((F.col("kind") == 2) & n.between(13, 19)))
-    by = Window.partitionBy("rid").orderBy("start", "end", "kind", "gen")
-    back, ahead = by.rowsBetween(Window.unboundedPreceding, -1), by.rowsBetween(1, Window.unboundedFollowing)
+    # what lies ahead is read in descending order: a frame that ends at the last row costs the square of the rows
+    order = ["start", "end", "kind", "gen"]
+    upto_here = lambda keys: Window.partitionBy("rid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
+    back, ahead = upto_here(order), upto_here([F.desc(c) for c in order])
     b_end, b_start = F.when(F.col("base"), F.col("end")), F.when(F.col("base"), F.col("start"))
     over = (F.coalesce(F.max(b_end).over(back), F.lit(-1)) > F.col("start")) | (F.coalesce(F.min(b_start).over(ahead), F.lit(1 << 60)) < F.col("end"))
     return s.withColumn("over", over)
