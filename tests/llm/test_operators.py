@@ -227,6 +227,15 @@ def test_personal_data(spark):
     assert pii.find_personal_data(docs_frame(spark, []))[1].count() == 0
 
 
+def test_personal_data_in_very_long_texts(spark):
+    """One text may hold a domain of very many parts, very many spans, or endless digits."""
+    # counts are known by construction: the plain patterns would need the square of a text without an @
+    texts = ["x@a" + ".b" * 60_000, "x(at)a" + ".b" * 60_000, "1.2.3.4." * 20_000, "7" * 200_000 + " 1" * 50_000, "+1" + " 2" * 50_000, "a@b.c_" * 10_000]
+    rows, spans = pii.find_personal_data(docs_frame(spark, list(enumerate(texts))))
+    found = spans.where("base").join(rows, "rid").groupBy("id", "kind").agg(F.count(F.lit(1)).alias("n"), F.max("end").alias("end")).collect()
+    assert sorted(tuple(r) for r in found) == [(0, 0, 1, 120_003), (2, 1, 20_000, 159_999), (5, 0, 10_000, 59_999)]
+
+
 def test_personal_data_learns_formats(spark):
     r = random.Random(0)
     phone = lambda: f"tel {r.choice(['+1 ', ''])}({r.randrange(200, 999)}) 555-{r.randrange(1000, 9999)}"
