@@ -1,12 +1,15 @@
 """Cross-entropy difference: documents scored by a target and a background n-gram model over one vocabulary.
 
-Both are bigram models with Witten-Bell interpolation over the same vocabulary: the most frequent words of
-all documents, and a few classes for all others. The target model counts the documents labelled as good,
-the background model all documents. A document's score is its loss per token under the target model minus
-that under the background model, in bits: the lower, the more it is like the target.
+Both are bigram models with Witten-Bell interpolation over the same vocabulary: all words of all documents.
+The target model counts the documents labelled as good, the background model all documents. A document's
+score is its loss per token under the target model minus that under the background model, in bits: the
+lower, the more it is like the target.
 
-Counts cover the whole corpus and travel as rows that grow with it; the models themselves are bounded by
-the square of the vocabulary, which is what makes sending them to every executor safe.
+Counts cover the whole corpus, and no table of them is held in one place. Texts are cut into blocks of a
+bounded size; each block counts its own bigrams and words and sends them, packed, to buckets by hash. A
+bucket adds up the counts of all blocks and answers every block for what also occurs in another one; what
+occurs in one block only is known there already. Blocks are then scored with the answers they got. Words
+and bigrams are compared by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -15,108 +18,258 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, text_slices
+from .common import SLICE_BYTES, Words, bounded_tiles, materialize, mix64, text_slices
 
 CLASSES = 8
+BLOCK_BYTES = 1 << 23
+BUCKET_ROWS = 1 << 19
+START = np.uint64(0xD1B54A32D192ED03)
+_CLASS = mix64(np.arange(1, CLASSES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
 
 
-def _tokens(w: Words, data: np.ndarray, vocab: np.ndarray) -> np.ndarray:
-    """0 to len(vocab)-1: words; then classes of other words by first byte and length."""
-    if not len(w.start):
-        return np.zeros(0, np.int64)
+def _pack(a: np.ndarray) -> bytes:
+    """Bytes of equal weight together, compressed, after the length."""
+    a = np.ascontiguousarray(a)
+    planes = np.ascontiguousarray(a.view(np.uint8).reshape(-1, a.itemsize).T)
+    return np.int64(planes.size).tobytes() + pa.Codec("zstd").compress(planes.tobytes(), asbytes=True)
+
+
+def _unpack(b: bytes, kind: type) -> np.ndarray:
+    size = int(np.frombuffer(b, np.int64, 1)[0])
+    raw = np.frombuffer(pa.Codec("zstd").decompress(b[8:], size, asbytes=True), np.uint8)
+    return np.ascontiguousarray(raw.reshape(np.dtype(kind).itemsize, -1).T).reshape(-1).view(kind)
+
+
+def _pack_sorted(h: np.ndarray) -> bytes:
+    return _pack(np.diff(h, prepend=np.uint64(0)))
+
+
+def _unpack_sorted(b: bytes) -> np.ndarray:
+    return np.cumsum(_unpack(b, np.uint64), dtype=np.uint64)
+
+
+def _words(w: Words, data: np.ndarray, vocab: np.ndarray | None) -> np.ndarray:
+    """Hashes of words; of those outside ``vocab``, of their class by first byte and length."""
+    if vocab is None or not len(w.start):
+        return w.hash
     i = np.minimum(np.searchsorted(vocab, w.hash), max(len(vocab) - 1, 0))
     known = vocab[i] == w.hash if len(vocab) else np.zeros(len(w.hash), bool)
     b, n = data[w.start], w.end - w.start
     kind = np.where((b >= 65) & (b <= 90), 0, np.where((b >= 97) & (b <= 122), 1, np.where(b >= 128, 2, 3)))
-    return np.where(known, i, len(vocab) + kind * 2 + (n > 8))
+    return np.where(known, w.hash, _CLASS[kind * 2 + (n > 8)])
+
+
+class _Block:
+    """Tokens of a block of texts, and its own counts of words and bigrams."""
+
+    def __init__(self, n: bytes, chosen: bytes, vocab: bytes, tokens: bytes):
+        self.n, self.chosen = _unpack(n, np.int64), _unpack(chosen, bool)
+        #: the block's words and, at the end, the start symbol, which is the context of a text's first word
+        self.vocab, token = np.append(_unpack(vocab, np.uint64), START), _unpack(tokens, np.uint32).astype(np.int64)
+        size = self.size = len(self.vocab)
+        self.full = self.n > 0
+        self.begin = (np.cumsum(self.n) - self.n)[self.full]
+        before = np.empty_like(token)
+        before[1:] = token[:-1]
+        before[self.begin] = size - 1
+        key, inverse, count = np.unique(before * size + token, return_inverse=True, return_counts=True)
+        a, b = key // size, key % size
+        h = mix64(mix64(self.vocab[a]) * np.uint64(0x9FB21C651E98DF25) + self.vocab[b])
+        order = np.argsort(h, kind="stable")
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        self.a, self.b, self.h, self.at = a[order], b[order], h[order], place[inverse]
+        good = np.bincount(self.at[np.repeat(self.chosen, self.n)], minlength=len(h))
+        #: of each bigram: occurrences, and those in chosen texts
+        self.pairs = np.stack([count[order], good]).astype(np.int64)
+        self.order = np.argsort(self.vocab, kind="stable")
+
+    def owned(self, answers: list[tuple]) -> np.ndarray:
+        """Bigrams that this block counts as distinct; also puts totals of all blocks into ``pairs``."""
+        own = np.ones(len(self.h), bool)
+        _apply(self.h, self.pairs, answers, own)
+        return own
+
+    def word_counts(self, answers: list[tuple]) -> np.ndarray:
+        """Six rows over the words in the order of their hashes: occurrences, those as a context, and distinct followers; each of all and of chosen texts."""
+        add = lambda at, v: np.bincount(at, v, self.size).astype(np.int64)
+        plain = [add(self.b, v) for v in self.pairs] + [add(self.a, v) for v in self.pairs]
+        own = self.owned(answers)
+        kinds = [add(self.a, own & (v > 0)) for v in self.pairs]
+        return np.stack(plain + kinds)[:, self.order]
+
+
+def _cut(h: np.ndarray, bits: int) -> np.ndarray:
+    """Where each bucket of sorted hashes begins; a last entry for the end."""
+    first = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits) if bits else np.zeros(1, np.uint64)
+    return np.append(np.searchsorted(h, first), len(h))
+
+
+def _apply(h: np.ndarray, values: np.ndarray, answers: list[tuple], own: np.ndarray | None = None) -> None:
+    """Totals of all blocks instead of the block's own counts, where they differ."""
+    for first, at, v, mine in answers:
+        at = int(np.searchsorted(h, np.uint64(first))) + _unpack(at, np.uint32).astype(np.int64)
+        values[:, at] = _unpack(v, np.int64).reshape(len(values), -1)
+        if own is not None:
+            own[at] = _unpack(mine, bool)
+
+
+MESSAGE = "bucket long, block long, h binary, v binary"
+ANSWER = "block long, kind int, first long, at binary, v binary, own binary, n_distinct long"
 
 
-def _pairs(w: Words, token: np.ndarray, size: int) -> np.ndarray:
-    """Bigram keys; the context of a text's first word is the start symbol, the last of the vocabulary."""
-    before = np.empty_like(token)
-    before[1:] = token[:-1]
-    before[w.first[:-1][w.n > 0]] = size - 1
-    return before * size + token
+def _messages(block: int, h: np.ndarray, values: np.ndarray, bits: int) -> pa.RecordBatch:
+    cut = _cut(h, bits)
+    some = [(i, a, b) for i, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if a < b]
+    columns = [[i for i, _, _ in some], [block] * len(some), [_pack_sorted(h[a:b]) for _, a, b in some], [_pack(values[:, a:b]) for _, a, b in some]]
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "block", "h", "v"])
 
 
-def _losses(counts: np.ndarray, alpha: float = 0.5) -> np.ndarray:
-    """-log2 of the interpolated probability of each token after each context."""
-    size = len(counts)
-    one = counts.sum(0) + alpha
-    one /= one.sum()
-    total, kinds = counts.sum(1, keepdims=True), (counts > 0).sum(1, keepdims=True)
+def _answers(kind: int, width: int, bits: int):
+    """Adds up a bucket's counts, and answers each block for the hashes that another one has too."""
+
+    def run(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("block", "h", "v")), strict=True), key=lambda r: r[0])
+        bucket = table.column("bucket")[0].as_py()
+        h = [_unpack_sorted(r[1]) for r in rows]
+        values = np.concatenate([_unpack(r[2], np.int64).reshape(width, -1) for r in rows], axis=1)
+        distinct, index, inverse, times = np.unique(np.concatenate(h), return_index=True, return_inverse=True, return_counts=True)
+        total = np.stack([np.bincount(inverse, v, len(distinct)).astype(np.int64) for v in values])
+        own = np.zeros(len(inverse), bool)
+        own[index] = True
+        shared = times[inverse] > 1
+        first = np.uint64(bucket << (64 - bits)).view(np.int64) if bits else 0
+        # the count of distinct hashes is a row of its own
+        out = [(-1, kind, int(first), None, None, None, len(distinct))]
+        a = 0
+        for (block, _, _), x in zip(rows, h, strict=True):
+            at = np.flatnonzero(shared[a : a + len(x)])
+            if len(at):
+                out.append((block, kind, int(first), _pack(at.astype(np.uint32)), _pack(total[:, inverse[a + at]]), _pack(own[a + at]), 0))
+            a += len(x)
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["block", "kind", "first", "at", "v", "own", "n_distinct"])
+
+    return run
+
+
+def _received(table: pa.Table, kind: int) -> list[tuple]:
+    rows = zip(*(table.column(c).to_pylist() for c in ("kind", "first", "at", "v", "own")), strict=True)
+    return [(first & 0xFFFFFFFFFFFFFFFF, at, v, own) for k, first, at, v, own in rows if k == kind]
+
+
+def _block_of(table: pa.Table | pa.RecordBatch, i: int = 0) -> _Block:
+    return _Block(*(table.column(table.schema.get_field_index(c))[i].as_py() for c in ("n", "chosen", "vocab", "tokens")))
+
+
+def _losses(pairs: np.ndarray, a: np.ndarray, b: np.ndarray, word: np.ndarray, total: int, size: int, alpha: float = 0.5) -> np.ndarray:
+    """-log2 of the interpolated probability of each bigram; ``word`` has occurrences, those as a context, and distinct followers."""
+    one = (word[0][b] + alpha) / (total + alpha * size)
+    context, kinds = word[1][a], word[2][a]
     with np.errstate(divide="ignore", invalid="ignore"):
-        p = np.where(total > 0, (counts + kinds * one) / (total + kinds), np.broadcast_to(one, (size, size)))
-    return -np.log2(p).astype(np.float32)
+        p = np.where(context > 0, (pairs + kinds * one) / (context + kinds), one)
+    return -np.log2(p)
 
 
-def score_by_difference(docs: DataFrame, target_ids: DataFrame, vocabulary: int = 1024) -> DataFrame:
+def score_by_difference(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = None) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) for each row of ``docs`` (doc_id, text).
 
     Losses are bits per token; they and the score are null where a text has no words (null texts too). Rows
     with null or repeated ids are scored one by one. ``target_ids`` has a doc_id column; repeats and nulls
     in it don't matter; if none of them is found, the target model knows only the vocabulary. An empty
     table gives no rows. Other columns are not read.
+
+    vocabulary: where given, only so many of the most frequent words count as themselves, all others as one
+    of a few classes.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("t"))
+    vocab = None
+    if vocabulary is not None:
 
-    def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, _, data, off in text_slices(batch, "t", 1 << 22):
-                h, n = np.unique(Words(data, off).hash, return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"])
+        def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for _, _, data, off in text_slices(batch, "t", 1 << 22):
+                    h, n = np.unique(Words(data, off).hash, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"])
+
+        words = base.select("t").mapInArrow(count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+        top = words.orderBy(F.desc("n"), "h").limit(vocabulary).select("h").collect()
+        vocab = np.sort(np.array([r["h"] for r in top], np.int64).view(np.uint64))
+
+    def cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, held, parts = TaskContext.get().partitionId() << 32, 0, []
 
-    words = base.select("t").mapInArrow(count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    top = words.orderBy(F.desc("n"), "h").limit(vocabulary).select("h").collect()
-    vocab = np.sort(np.array([r["h"] for r in top], np.int64).view(np.uint64))
-    size = len(vocab) + CLASSES + 1
+        def whole() -> pa.RecordBatch:
+            ids, n, good, hashes = zip(*parts, strict=True)
+            n, good = np.concatenate(n), np.concatenate(good)
+            h, inverse, count = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
+            # frequent words get small numbers, which take less room
+            order = np.argsort(-count, kind="stable")
+            place = np.empty(len(h), np.uint32)
+            place[order] = np.arange(len(h), dtype=np.uint32)
+            row = (block, [x for i in ids for x in i], _pack(n), _pack(good), _pack(h[order]), _pack(place[inverse]), len(inverse), int(n[good].sum()))
+            kinds = (pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4, pa.int64(), pa.int64())
+            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=["block", "ids", "n", "chosen", "vocab", "tokens", "total", "total_target"])
 
-    def count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        both = np.zeros((2, size * size), np.int64)
         for batch in batches:
-            chosen = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            for a, b, data, off in text_slices(batch, "t"):
+            good = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
+            for a, b, data, off in text_slices(batch, "t", min(SLICE_BYTES, BLOCK_BYTES)):
+                if parts and held + len(data) > BLOCK_BYTES:
+                    yield whole()
+                    block, held, parts = block + 1, 0, []
                 w = Words(data, off)
-                key = _pairs(w, _tokens(w, data, vocab), size)
-                both[0] += np.bincount(key, minlength=size * size)
-                both[1] += np.bincount(key[np.repeat(chosen[a:b], w.n)], minlength=size * size)
-        at = np.flatnonzero(both[0])
-        for c in range(0, len(at), 1 << 16):
-            part = at[c : c + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([pa.array(part), pa.array(both[0][part]), pa.array(both[1][part])], names=["pair", "n", "n_target"])
+                parts.append((batch.column(0).slice(a, b - a).to_pylist(), w.n.astype(np.int64), good[a:b], _words(w, data, vocab)))
+                held += len(data)
+        if parts:
+            yield whole()
 
     chosen = target_ids.select(F.col("doc_id").cast("long").alias("id")).distinct().withColumn("chosen", F.lit(True))
-    # merged at every size: texts are many, and so are the target's ids
-    marked = base.hint("merge").join(chosen, "id", "left").select("t", F.coalesce("chosen", F.lit(False)).alias("chosen"))
-    pairs = marked.mapInArrow(count_pairs, "pair long, n long, n_target long").groupBy("pair").agg(F.sum("n").alias("n"), F.sum("n_target").alias("n_target"))
-    table = pairs.toArrow()  # at most size ** 2 rows
-    counts = np.zeros((2, size * size))
-    at = table.column("pair").to_numpy()
-    counts[0][at], counts[1][at] = table.column("n").to_numpy(), table.column("n_target").to_numpy()
-    background, target = (_losses(c.reshape(size, size)).ravel() for c in counts)
-    model = docs.sparkSession.sparkContext.broadcast((target, background))
-
-    def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        target, background = model.value
+    marked = base.join(chosen, "id", "left").select("id", "t", F.coalesce("chosen", F.lit(False)).alias("chosen"))
+    blocks = materialize(marked.mapInArrow(cut_blocks, "block long, ids array<long>, n binary, chosen binary, vocab binary, tokens binary, total long, total_target long"), "lm-blocks")
+    sums = blocks.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"), F.coalesce(F.sum("total_target"), F.lit(0)).alias("t")).first()
+    totals, bits = (sums["t"], sums["n"]), bounded_tiles(sums["n"], BUCKET_ROWS)
+
+    def send_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, b, data, off in text_slices(batch, "t"):
-                w = Words(data, off)
-                key = _pairs(w, _tokens(w, data, vocab), size)
-                full = w.n > 0
-                begin = w.first[:-1][full]
-                loss = []
-                for m in (target, background):
-                    v = np.zeros(b - a)
-                    if len(begin):
-                        v[full] = np.add.reduceat(m[key].astype(np.float64), begin) / w.n[full]
-                    loss.append(pa.array(v, mask=~full))
-                diff = pa.array(loss[0].to_numpy(zero_copy_only=False) - loss[1].to_numpy(zero_copy_only=False), mask=~full)
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(a, b - a), pa.array(w.n.astype(np.int64)), *loss, diff], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return base.mapInArrow(score, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+            for i in range(batch.num_rows):
+                x = _block_of(batch, i)
+                yield _messages(batch.column(0)[i].as_py(), x.h, x.pairs, bits)
+
+    def send_words(left: pa.Table, right: pa.Table) -> pa.Table:
+        x = _block_of(left)
+        return pa.Table.from_batches([_messages(left.column("block")[0].as_py(), x.vocab[x.order], x.word_counts(_received(right, 0)), bits)])
+
+    tokens = blocks.select("block", "n", "chosen", "vocab", "tokens")
+    sent = tokens.mapInArrow(send_pairs, MESSAGE)
+    of_pairs = materialize(sent.groupBy("bucket").applyInArrow(_answers(0, 2, bits), ANSWER).where("block >= 0"), "lm-pairs")
+    sent = tokens.groupBy("block").cogroup(of_pairs.groupBy("block")).applyInArrow(send_words, MESSAGE)
+    of_words = materialize(sent.groupBy("bucket").applyInArrow(_answers(1, 6, bits), ANSWER), "lm-words")
+    # all words and the start symbol
+    size = of_words.agg(F.coalesce(F.sum("n_distinct"), F.lit(0)).alias("n")).first()["n"] if vocab is None else len(vocab) + CLASSES + 1
+
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
+        x = _block_of(left)
+        answers = _received(right, 0)
+        word = x.word_counts(answers)
+        _apply(x.vocab[x.order], word, _received(right, 1))
+        word[:, x.order] = word.copy()
+        loss = []
+        for m in (1, 0):
+            v = np.zeros(len(x.n))
+            if len(x.begin):
+                each = _losses(x.pairs[m], x.a, x.b, word[m::2], totals[1 - m], size)[x.at]
+                v[x.full] = np.add.reduceat(each, x.begin) / x.n[x.full]
+            loss.append(v)
+        ids = left.column("ids")[0].values
+        return pa.Table.from_arrays([ids, pa.array(x.n), *(pa.array(v, mask=~x.full) for v in (*loss, loss[0] - loss[1]))], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    every = of_pairs.union(of_words.where("block >= 0"))
+    scored = blocks.select("block", "ids", "n", "chosen", "vocab", "tokens").groupBy("block").cogroup(every.groupBy("block"))
+    return scored.applyInArrow(score, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
 
 
 def op7_lm_scoring(spark, sf_dir: str) -> DataFrame:

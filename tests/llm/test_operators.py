@@ -436,3 +436,26 @@ def test_quality_gradient():
 
 def test_materialized_tables_keep_rows(spark):
     assert materialize(spark.range(5), "x").count() == 5
+
+
+def test_losses_over_the_whole_vocabulary(spark, monkeypatch):
+    """More words than any fixed table, in many blocks and buckets, against plain counts; rare words tell texts apart."""
+    r = random.Random(4)
+    texts = [(i, " ".join(f"w{int(1500 * r.random() ** 2)}" for _ in range(r.randrange(1, 120)))) for i in range(150)] + [(150, ""), (151, "rare1 w1 w2"), (152, "rare2 w1 w2"), (None, "w1 w1")]
+    chosen = {*range(0, 150, 3), 151}
+    monkeypatch.setattr(lm_score, "BLOCK_BYTES", 2000)
+    monkeypatch.setattr(lm_score, "BUCKET_ROWS", 700)
+    got = {x["doc_id"]: x for x in lm_score.score_by_difference(docs_frame(spark, texts).repartition(3), spark.createDataFrame([(i,) for i in chosen], "doc_id long")).collect()}
+    size = len({w for _, t in texts for w in t.split()}) + 1
+    assert size > 1034 and len(got) == len(texts)
+    for name, ids in (("target_loss", chosen), ("background_loss", {d for d, _ in texts})):
+        pairs = brute.group((a, b) for d, t in texts if d in ids for a, b in zip(["<s>", *t.split()], t.split(), strict=False))
+        words = brute.group((b, 1) for v in pairs.values() for b in v)
+        total = sum(map(len, words.values()))
+        for d, t in texts:
+            loss = []
+            for a, b in zip(["<s>", *t.split()], t.split(), strict=False):
+                one, after = (len(words.get(b, [])) + 0.5) / (total + 0.5 * size), pairs.get(a, [])
+                loss.append(-np.log2((after.count(b) + len(set(after)) * one) / (len(after) + len(set(after))) if after else one))
+            assert got[d][name] == (pytest.approx(np.mean(loss), rel=1e-9) if loss else None)
+    assert got[151]["score"] < got[152]["score"]
