@@ -2,7 +2,8 @@
 
 Texts become templates: numbers, names and units turn into typed placeholders, other words are lower-cased
 (ASCII and Latin-1 letters) without outer punctuation. Windows of template tokens are hashed and joined with those of the benchmark, so
-a question with other numbers or names still meets its template. Per document and item, the values in the
+a question with other numbers or names still meets its template. A capitalised word that opens a sentence
+may be a name or not, so its windows have both forms. Per document and item, the values in the
 slots must follow one consistent substitution; an item counts as leaked once enough of its windows do.
 
 Document windows pass a bit map of the benchmark's window hashes first. Its size is fixed, whatever the
@@ -34,21 +35,44 @@ _DIGIT, _UPPER, _NUMERIC, _STOP = (np.zeros(256, bool) for _ in range(4))
 _DIGIT[48:58] = _UPPER[65:91] = _NUMERIC[48:58] = True
 _NUMERIC[[44, 46, 47, 58, 45]] = True
 _STOP[[33, 46, 63, 58, 10]] = True
+# fixed values: words that open a sentence and are no names
+FUNCTION_WORDS = (
+    "a an the this that these those it its he she they we you i his her their our your my there here if when while where who whom whose which what why how "
+    "is are was were do does did has have had can could would should must and or but so then as at by for from in into of on to with without after before "
+    "because since until during each every all some any no not both one two many much more most"
+)
 NUMBER, NAME, UNIT = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
 
 
-def _unit_hashes() -> np.ndarray:
-    raw = np.frombuffer(UNITS.encode(), np.uint8)
+_UNIT_SET = frozenset(UNITS.encode().split())
+_UNIT_MOST = max(map(len, _UNIT_SET))
+
+
+def _hashes(words: str) -> np.ndarray:
+    raw = np.frombuffer(words.encode(), np.uint8)
     return np.unique(Words(raw, np.array([0, len(raw)]), lower=True, core=_CORE).hash)
 
 
-def templates(data: np.ndarray, off: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray]:
-    """Words, their template tokens, and which of them are slots."""
-    w = Words(data, off, lower=True, core=_CORE, latin=True)
+def split_units(w: Words, data: np.ndarray, off: np.ndarray) -> tuple[Words, np.ndarray]:
+    """Words and bytes with a space between a number and a unit or % that is glued to it."""
+    starts = np.flatnonzero(_DIGIT[data[w.start]])
+    other = np.append(np.flatnonzero(~_NUMERIC[data]), len(data))
+    cut, end = other[np.searchsorted(other, w.start[starts])], w.end[starts]
+    near = (cut < end) & (end - cut <= _UNIT_MOST)
+    cut = np.array([a for a, b in zip(cut[near].tolist(), end[near].tolist(), strict=True) if data[a:b].tobytes().lower() in _UNIT_SET], np.int64)
+    if not len(cut):
+        return w, data
+    data, off = np.insert(data, cut, np.uint8(32)), off + np.searchsorted(cut, off)
+    return Words(data, off, lower=True, core=_CORE, latin=True), data
+
+
+def templates(data: np.ndarray, off: np.ndarray) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """Words, their template tokens, which of them are slots, and which may be names as they open a sentence in upper case."""
+    w, data = split_units(Words(data, off, lower=True, core=_CORE, latin=True), data, off)
     n = len(w.start)
     token, slot = w.hash.copy(), np.zeros(n, bool)
     if not n:
-        return w, token, slot
+        return w, token, slot, slot
     count = lambda table: (c := np.concatenate([[0], np.cumsum(table[data], dtype=np.int32)]))[w.end] - c[w.start]
     length = w.end - w.start
     digits = count(_DIGIT)
@@ -59,39 +83,48 @@ def templates(data: np.ndarray, off: np.ndarray) -> tuple[Words, np.ndarray, np.
     opens[1:] = stops[w.start[1:]] > stops[w.end[:-1]]
     opens[w.first[:-1][w.n > 0]] = True
     upper = _UPPER[data[w.start]] | ((data[w.start] == 0xC3) & (data[np.minimum(w.start + 1, len(data) - 1)] < 0x9F))
-    name = upper & (count(_UPPER) <= 1) & ~opens & ~number & (length > 1)
+    named = upper & (count(_UPPER) <= 1) & ~number & (length > 1)
+    name, maybe = named & ~opens, named & opens & ~np.isin(w.hash, _hashes(FUNCTION_WORDS))
     follows = np.zeros(n, bool)
     follows[1:] = number[:-1]
     follows[w.first[:-1][w.n > 0]] = False
-    unit = follows & np.isin(w.hash, _unit_hashes()) & ~number
+    unit = follows & np.isin(w.hash, _hashes(UNITS)) & ~number
     token[name], token[number], token[unit] = NAME, NUMBER, UNIT
-    return w, token, name | number | unit
+    return w, token, name | number | unit, maybe & ~unit
 
 
-def template_windows(data: np.ndarray, off: np.ndarray, k: int, literals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """text, start, hash, number of slots and slot values (windows x k, 0 where literal) of windows with enough literals.
+def template_windows(data: np.ndarray, off: np.ndarray, k: int, literals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """text, window, hash and slot values (windows x k, 0 where literal) of windows with enough literals.
 
-    A text of fewer than k words has one window, of all of them.
+    A text of fewer than k words has one window, of all of them. A window with words that may be names has a
+    second hash with them as names; both have the first as their window.
     """
-    w, token, slot = templates(data, off)
+    w, token, slot, maybe = templates(data, off)
     n = len(token)
     if not n:
-        return (*(np.zeros(0, np.int64) for _ in range(2)), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros((0, k), np.uint64))
+        return np.zeros(0, np.int64), *(np.zeros(0, np.uint64) for _ in range(2)), np.zeros((0, k), np.uint64)
     end, begin, at = w.text_end, np.repeat(w.first[:-1], w.n), np.arange(n)
     keep = np.flatnonzero((end - at >= k) | (at == begin))
-    h, plain = np.full(len(keep), np.uint64(k)), np.zeros(len(keep), np.int64)
-    values = np.zeros((len(keep), k), np.uint64)
-    for j in range(k):
-        i = np.minimum(keep + j, n - 1)
-        ok = keep + j < end[keep]
-        h = mix64(h * np.uint64(0x9FB21C651E98DF25) + np.where(ok, token[i], np.uint64(0x2545F4914F6CDD1D)))
-        values[:, j] = np.where(ok & slot[i], w.hash[i], np.uint64(0))
-        plain += ok & ~slot[i]
-    # short texts need literals in proportion
-    enough = plain >= np.minimum(literals, np.maximum(1, (end[keep] - keep) // 2))
-    keep, h, values = keep[enough], h[enough], values[enough]
+
+    def hashed(keep: np.ndarray, token: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        h, plain = np.full(len(keep), np.uint64(k)), np.zeros(len(keep), np.int64)
+        values = np.zeros((len(keep), k), np.uint64)
+        for j in range(k):
+            i = np.minimum(keep + j, n - 1)
+            ok = keep + j < end[keep]
+            h = mix64(h * np.uint64(0x9FB21C651E98DF25) + np.where(ok, token[i], np.uint64(0x2545F4914F6CDD1D)))
+            values[:, j] = np.where(ok & slot[i], w.hash[i], np.uint64(0))
+            plain += ok & ~slot[i]
+        # short texts need literals in proportion
+        return h, values, plain >= np.minimum(literals, np.maximum(1, (end[keep] - keep) // 2))
+
+    h, values, enough = hashed(keep, token, slot)
+    seen = np.concatenate([[0], np.cumsum(maybe)])
+    also = np.flatnonzero(seen[np.minimum(keep + k, end[keep])] > seen[keep])
+    h2, values2, enough2 = hashed(keep[also], np.where(maybe, NAME, token), slot | maybe)
     text = w.text_of()[keep]
-    return text, keep - w.first[text], h, (values != 0).sum(1), values
+    also, h2, values2 = also[enough2], h2[enough2], values2[enough2]
+    return np.append(text[enough], text[also]), np.append(h[enough], h[also]), np.append(h[enough], h2), np.concatenate([values[enough], values2])
 
 
 def consistent(pairs: list[tuple[list[int], list[int]]]) -> int:
@@ -122,21 +155,21 @@ def find_leaks(
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for a, b, data, off in text_slices(batch, "t"):
-                    text, _, h, _, values = template_windows(data, off, window, literals)
+                    text, win, h, values = template_windows(data, off, window, literals)
                     if keep_bits is not None:
                         bit = (h >> np.uint64(64 - MAP_BITS)).astype(np.int64)
                         hit = (keep_bits[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) > 0
-                        text, h, values = text[hit], h[hit], values[hit]
+                        text, win, h, values = text[hit], win[hit], h[hit], values[hit]
                     used = values != 0
                     slots = np.concatenate([[0], np.cumsum(used.sum(1))])
                     ids = batch.column(0).slice(a, b - a).cast(pa.int64()).take(pa.array(text))
-                    yield pa.RecordBatch.from_arrays([ids, pa.array(h.view(np.int64)), list_column(values[used].view(np.int64), slots, pa.int64())], names=["id", "h", "slots"])
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(win.view(np.int64)), pa.array(h.view(np.int64)), list_column(values[used].view(np.int64), slots, pa.int64())], names=["id", "win", "h", "slots"])
 
         return run
 
-    kind = "id long, h long, slots array<long>"
+    kind = "id long, win long, h long, slots array<long>"
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").alias("t")).where("id is not null").mapInArrow(windows(None), kind)
-    items = items.groupBy("id", "h").agg(F.min("slots").alias("slots"))
+    items = items.groupBy("id", "win", "h").agg(F.min("slots").alias("slots"))
     bit = F.shiftrightunsigned("h", 64 - MAP_BITS)
     one = F.expr("shiftleft(1L, cast(bit & 63 as int))")
     # at most 2**22 bits in 65,536 rows, for any benchmark
@@ -147,9 +180,9 @@ def find_leaks(
     found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).where("id is not null").mapInArrow(windows(bits), kind)
     # repeats of a window with the same slot values tell nothing new; a text is not collected beyond the item's windows and their values
     found = found.select(F.col("id").alias("doc_id"), "h", F.col("slots").alias("here")).distinct()
-    size = items.groupBy("id").agg(F.count(F.lit(1)).alias("n_windows"))
-    hits = found.join(items.select(F.col("id").alias("item_id"), "h", "slots"), "h").groupBy("doc_id", "item_id").agg(
-        F.collect_list(F.struct("h", "slots", "here")).alias("hits"), F.countDistinct("h").alias("n_matched")
+    size = items.groupBy("id").agg(F.countDistinct("win").alias("n_windows"))
+    hits = found.join(items.select(F.col("id").alias("item_id"), "win", "h", "slots"), "h").groupBy("doc_id", "item_id").agg(
+        F.collect_list(F.struct("win", "slots", "here")).alias("hits"), F.countDistinct("win").alias("n_matched")
     )
     hits = hits.join(size.withColumnRenamed("id", "item_id"), "item_id").where(F.col("n_matched") >= F.lit(share) * F.col("n_windows"))
 
@@ -161,7 +194,7 @@ def find_leaks(
                 # of several values at one window, the item's own decide first
                 best: dict[int, tuple] = {}
                 for x in sorted(hits, key=lambda x: (x["slots"] != x["here"], x["here"])):
-                    best.setdefault(x["h"], (x["slots"], x["here"]))
+                    best.setdefault(x["win"], (x["slots"], x["here"]))
                 good.append(max(consistent(list(best.values())), min(len(best), consistent(pairs))))
                 same.append(all(a == b for a, b in best.values()))
             yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(good, pa.int64()), pa.array(same, pa.bool_())], names=["doc_id", "item_id", "n_windows", "n_matched", "n_consistent", "verbatim"])

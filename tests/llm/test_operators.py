@@ -459,3 +459,12 @@ def test_losses_over_the_whole_vocabulary(spark, monkeypatch):
                 loss.append(-np.log2((after.count(b) + len(set(after)) * one) / (len(after) + len(set(after))) if after else one))
             assert got[d][name] == (pytest.approx(np.mean(loss), rel=1e-9) if loss else None)
     assert got[151]["score"] < got[152]["score"]
+
+
+def test_leaks_with_names_that_open_sentences_and_glued_units(spark):
+    items = ["Alice has 3 apples. Bob has 5 pears. Alice gives Bob 2 apples. How many apples does Alice have?", "A shop sells a coat at 20% off and then adds 5% tax to the price. What is paid?", "The rope weighs 5kg and each box weighs 12kg so how heavy are both together on the scale?"]
+    texts = ["Carl has 7 apples. Dana has 9 pears. Carl gives Dana 4 apples. How many apples does Carl have?", "A shop sells a coat at 30% off and then adds 7% tax to the price. What is paid?", "The rope weighs 8 kg and each box weighs 30kg so how heavy are both together on the scale?", "Carl has a dog. Dana has a cat. They meet in the park on most days and talk."]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]): x for x in decontaminate.find_leaks(docs_frame(spark, list(enumerate(texts + items))), bench).collect()}
+    assert set(got) == {(i, i) for i in range(3)} | {(i + 4, i) for i in range(3)}
+    assert all(x["verbatim"] == (d >= 4) and x["n_matched"] <= x["n_windows"] for (d, _), x in got.items())
