@@ -42,7 +42,7 @@ FUNCTION_WORDS = (
     "because since until during each every all some any no not both one two many much more most"
 )
 NUMBER, NAME, UNIT = (np.uint64(x) for x in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3))
-
+EXACT = np.uint64(0x589965CC75374CC3)
 
 _UNIT_SET = frozenset(UNITS.encode().split())
 _UNIT_MOST = max(map(len, _UNIT_SET))
@@ -72,7 +72,7 @@ def templates(data: np.ndarray, off: np.ndarray) -> tuple[Words, np.ndarray, np.
     n = len(w.start)
     token, slot = w.hash.copy(), np.zeros(n, bool)
     if not n:
-        return w, token, slot, slot
+        return w, token, slot, slot.copy()
     count = lambda table: (c := np.concatenate([[0], np.cumsum(table[data], dtype=np.int32)]))[w.end] - c[w.start]
     length = w.end - w.start
     digits = count(_DIGIT)
@@ -93,38 +93,55 @@ def templates(data: np.ndarray, off: np.ndarray) -> tuple[Words, np.ndarray, np.
     return w, token, name | number | unit, maybe & ~unit
 
 
-def template_windows(data: np.ndarray, off: np.ndarray, k: int, literals: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """text, window, hash and slot values (windows x k, 0 where literal) of windows with enough literals.
+def template_windows(data: np.ndarray, off: np.ndarray, k: int, literals: int, shapes: list[tuple[int, bool]] | None = None) -> tuple[np.ndarray, ...]:
+    """text, window, hash, slot values (windows x k, 0 where literal), length and exactness of windows with enough literals.
+
+    A window with words that may be names has a second hash with them as names; both have the first as their window.
 
-    A text of fewer than k words has one window, of all of them. A window with words that may be names has a
-    second hash with them as names; both have the first as their window.
+    Without ``shapes`` texts are items: one of fewer than k words has one window, of all of them, and one without
+    a window of enough literals has windows of its exact words instead. Otherwise all windows of these lengths, exact or not.
     """
     w, token, slot, maybe = templates(data, off)
     n = len(token)
-    if not n:
-        return np.zeros(0, np.int64), *(np.zeros(0, np.uint64) for _ in range(2)), np.zeros((0, k), np.uint64)
-    end, begin, at = w.text_end, np.repeat(w.first[:-1], w.n), np.arange(n)
-    keep = np.flatnonzero((end - at >= k) | (at == begin))
+    end, at, text_of = w.text_end, np.arange(n), w.text_of()
+    seen = np.concatenate([[0], np.cumsum(maybe)])
+    parts = []
 
-    def hashed(keep: np.ndarray, token: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    def hashed(keep: np.ndarray, size: int, token: np.ndarray, slot: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         h, plain = np.full(len(keep), np.uint64(k)), np.zeros(len(keep), np.int64)
         values = np.zeros((len(keep), k), np.uint64)
         for j in range(k):
             i = np.minimum(keep + j, n - 1)
-            ok = keep + j < end[keep]
-            h = mix64(h * np.uint64(0x9FB21C651E98DF25) + np.where(ok, token[i], np.uint64(0x2545F4914F6CDD1D)))
-            values[:, j] = np.where(ok & slot[i], w.hash[i], np.uint64(0))
-            plain += ok & ~slot[i]
+            h = mix64(h * np.uint64(0x9FB21C651E98DF25) + (token[i] if j < size else np.uint64(0x2545F4914F6CDD1D)))
+            if j < size:
+                values[:, j] = np.where(slot[i], w.hash[i], np.uint64(0))
+                plain += ~slot[i]
         # short texts need literals in proportion
-        return h, values, plain >= np.minimum(literals, np.maximum(1, (end[keep] - keep) // 2))
-
-    h, values, enough = hashed(keep, token, slot)
-    seen = np.concatenate([[0], np.cumsum(maybe)])
-    also = np.flatnonzero(seen[np.minimum(keep + k, end[keep])] > seen[keep])
-    h2, values2, enough2 = hashed(keep[also], np.where(maybe, NAME, token), slot | maybe)
-    text = w.text_of()[keep]
-    also, h2, values2 = also[enough2], h2[enough2], values2[enough2]
-    return np.append(text[enough], text[also]), np.append(h[enough], h[also]), np.append(h[enough], h2), np.concatenate([values[enough], values2])
+        return h, values, plain >= np.minimum(literals, np.maximum(1, (end[keep] - keep if size == k else size) // 2))
+
+    def add(keep: np.ndarray, size: int, exact: bool) -> None:
+        if exact:
+            h = mix64(hashed(keep, size, w.hash, np.zeros(n, bool))[0] ^ EXACT)
+            parts.append((text_of[keep], h, h, np.zeros((len(keep), k), np.uint64), size, True))
+            return
+        h, values, enough = hashed(keep, size, token, slot)
+        parts.append((text_of[keep[enough]], h[enough], h[enough], values[enough], size, False))
+        also = np.flatnonzero(seen[keep + size] > seen[keep])
+        h2, values2, enough2 = hashed(keep[also], size, np.where(maybe, NAME, token), slot | maybe)
+        parts.append((text_of[keep[also[enough2]]], h[also[enough2]], h2[enough2], values2[enough2], size, False))
+
+    if shapes is not None:
+        for size, exact in shapes:
+            add(np.flatnonzero(end - at >= size), size, exact)
+    else:
+        for size in range(1, k + 1):
+            keep = np.flatnonzero((end - at >= size) & (np.minimum(w.n, k)[text_of] == size))
+            add(keep, size, False)
+            found = np.zeros(len(w.n), bool)
+            found[parts[-1][0]] = found[parts[-2][0]] = True
+            add(keep[~found[text_of[keep]]], size, True)
+    sizes, exact = (np.repeat([x[c] for x in parts], [len(x[0]) for x in parts]) for c in (4, 5))
+    return *(np.concatenate([x[c] for x in parts]) for c in range(4)), sizes, exact
 
 
 def consistent(pairs: list[tuple[list[int], list[int]]]) -> int:
@@ -151,25 +168,25 @@ def find_leaks(
     tables give no rows. Only id and text columns are read.
     """
 
-    def windows(keep_bits: np.ndarray | None):
+    def windows(keep_bits: np.ndarray | None, shapes: list[tuple[int, bool]] | None = None):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for a, b, data, off in text_slices(batch, "t"):
-                    text, win, h, values = template_windows(data, off, window, literals)
+                    text, win, h, values, size, exact = template_windows(data, off, window, literals, shapes)
                     if keep_bits is not None:
                         bit = (h >> np.uint64(64 - MAP_BITS)).astype(np.int64)
                         hit = (keep_bits[bit >> 6] >> (bit & 63).astype(np.uint64)) & np.uint64(1) > 0
-                        text, win, h, values = text[hit], win[hit], h[hit], values[hit]
+                        text, win, h, values, size, exact = text[hit], win[hit], h[hit], values[hit], size[hit], exact[hit]
                     used = values != 0
                     slots = np.concatenate([[0], np.cumsum(used.sum(1))])
                     ids = batch.column(0).slice(a, b - a).cast(pa.int64()).take(pa.array(text))
-                    yield pa.RecordBatch.from_arrays([ids, pa.array(win.view(np.int64)), pa.array(h.view(np.int64)), list_column(values[used].view(np.int64), slots, pa.int64())], names=["id", "win", "h", "slots"])
+                    yield pa.RecordBatch.from_arrays([ids, pa.array(win.view(np.int64)), pa.array(h.view(np.int64)), list_column(values[used].view(np.int64), slots, pa.int64()), pa.array(size, pa.int32()), pa.array(exact, pa.bool_())], names=["id", "win", "h", "slots", "size", "exact"])
 
         return run
 
-    kind = "id long, win long, h long, slots array<long>"
+    kind = "id long, win long, h long, slots array<long>, size int, exact boolean"
     items = benchmark.select(F.col("item_id").cast("long").alias("id"), F.col("text").alias("t")).where("id is not null").mapInArrow(windows(None), kind)
-    items = items.groupBy("id", "win", "h").agg(F.min("slots").alias("slots"))
+    items = items.groupBy("id", "win", "h").agg(F.min("slots").alias("slots"), F.min("size").alias("size"), F.min("exact").alias("exact"))
     bit = F.shiftrightunsigned("h", 64 - MAP_BITS)
     one = F.expr("shiftleft(1L, cast(bit & 63 as int))")
     # at most 2**22 bits in 65,536 rows, for any benchmark
@@ -177,7 +194,9 @@ def find_leaks(
     bits = np.zeros(1 << (MAP_BITS - 6), np.uint64)
     for r in words:
         bits[r["w"]] = np.uint64(r["b"] & 0xFFFFFFFFFFFFFFFF)
-    found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).where("id is not null").mapInArrow(windows(bits), kind)
+    # texts need windows of the lengths that items have: at most 2 * window kinds
+    shapes = sorted({(window, False)} | {(r["size"], r["exact"]) for r in items.select("size", "exact").distinct().collect()})
+    found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t")).where("id is not null").mapInArrow(windows(bits, shapes), kind)
     # repeats of a window with the same slot values tell nothing new; a text is not collected beyond the item's windows and their values
     found = found.select(F.col("id").alias("doc_id"), "h", F.col("slots").alias("here")).distinct()
     size = items.groupBy("id").agg(F.countDistinct("win").alias("n_windows"))

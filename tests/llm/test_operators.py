@@ -468,3 +468,11 @@ def test_leaks_with_names_that_open_sentences_and_glued_units(spark):
     got = {(x["doc_id"], x["item_id"]): x for x in decontaminate.find_leaks(docs_frame(spark, list(enumerate(texts + items))), bench).collect()}
     assert set(got) == {(i, i) for i in range(3)} | {(i + 4, i) for i in range(3)}
     assert all(x["verbatim"] == (d >= 4) and x["n_matched"] <= x["n_windows"] for (d, _), x in got.items())
+
+
+def test_leaks_of_short_items_and_items_without_literals(spark):
+    items = ["short one", "12 + 7 + 30 + 4 + 9 + 18 =", "5 6", "Yes"]
+    texts = ["a short one here and some more words", "so 12 + 7 + 30 + 4 + 9 + 18 = what is it now", "so 12 + 7 + 30 + 4 + 9 + 19 = what is it now", "we count 5 6 and then stop there", "we say yes", "", "one short", "short one"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {(x["doc_id"], x["item_id"]) for x in decontaminate.find_leaks(docs_frame(spark, list(enumerate(texts))), bench).collect()}
+    assert got == {(0, 0), (1, 1), (3, 2), (4, 3), (7, 0)}
