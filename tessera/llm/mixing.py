@@ -1,48 +1,55 @@
 """Mixing sources to target weights, with DataFrame functions only.
 
 Each source's texts, in a seeded order, form one stream of words that is packed into blocks of fixed
-length. Every output shard draws how many of its slots each source fills (a multinomial draw, one hash
-per slot, settled at the end so that each source's total meets its quota); a source's draws, numbered
-over all shards, go through a pseudorandom permutation of its block indexes, and the blocks are joined
-by index. Every pass over a source uses each block once, so a source of quota q blocks repeats none
-more than ceil(q / blocks) times.
+length. The slots of all output shards draw their sources at random under the condition that every
+source gets its quota of slots in the end: a shard's counts are a multinomial draw conditioned on the
+totals, which is what dealing out a shuffled pool of all slots gives. The pool is shuffled by a
+pseudorandom permutation of slot numbers, and a source's slots go through pseudorandom permutations of
+its block indexes, one for each pass over the source; the blocks are then joined by index. A pass uses
+each block once, so a source of quota q blocks repeats none more than ceil(q / blocks) times.
+
+Permutations are swap-or-not networks: each round pairs x with (k - x) mod n and swaps by a bit that
+depends on the pair alone. That is a bijection of 0 to n - 1 for every n, computed row by row, so no
+row is sorted or shuffled to be permuted.
 """
 
 from __future__ import annotations
 
+import hashlib
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, bounded_tiles, hash60, hash_tile, materialize, running_base
+from .common import WORD, bounded_tiles, hash_tile, materialize, running_base, seeded_hash
+
+ROUNDS = 20
+PRIME = (1 << 31) - 1
+MOST_CELLS = 1 << 20
 
 
 @dataclass
 class Mixture:
-    """documents: id, sid, size (words), off (words before it in its source's stream).
-    sources: sid, src, size, weight, target, blocks, quota.
-    slots: shard, slot, sid, block. pieces: sid, block, id, off, from_word, n_before, n_words."""
+    """rows: rid (a row's number), row (the columns kept). sources: src, sid, size, weight, target, blocks, quota, lo.
+    slots: shard, slot, sid, block. pieces: rid, id, sid, size, h, block, from_word, n_before, n_words; a row
+    without words has one piece, of no words, in a block that doesn't exist."""
 
-    documents: DataFrame
+    rows: DataFrame
     sources: DataFrame
     slots: DataFrame
     pieces: DataFrame
 
     def taken(self) -> DataFrame:
-        """documents with taken: the words the mix takes of each row, repeats counted."""
+        """rid, id, sid, size, h and taken of every row: the words the mix takes of it, repeats counted."""
         draws = self.slots.groupBy("sid", "block").agg(F.count(F.lit(1)).alias("copies"))
-        # a row with words is known by where it begins in its source's stream, also when its id repeats
         # merged: Spark's size estimate of exploded rows is that of the rows before, which may look small enough to broadcast
-        by_row = self.pieces.hint("merge").join(draws, ["sid", "block"]).groupBy("sid", "off").agg(F.sum(F.col("copies") * F.col("n_words")).alias("taken"))
-        return self.documents.join(by_row, ["sid", "off"], "left").withColumn(
-            "taken", F.when(F.col("size") > 0, F.coalesce("taken", F.lit(0))).otherwise(F.lit(0)).cast("long")
-        )
+        met = self.pieces.hint("merge").join(draws, ["sid", "block"], "left")
+        return met.groupBy("rid", "id", "sid", "size", "h").agg(F.sum(F.coalesce("copies", F.lit(0)) * F.col("n_words")).cast("long").alias("taken"))
 
-    def block_texts(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-        """The mixture itself: shard, slot, and the block's words joined by one space."""
-        words = F.regexp_extract_all(F.col(text_col), F.lit(f"({WORD})"), F.lit(1))
-        cut = self.pieces.hint("merge").join(docs.select(F.col(id_col).alias("id"), words.alias("w")), "id").select(
+    def block_texts(self, text_col: str = "text") -> DataFrame:
+        """The mixture itself: shard, slot, and the block's words joined by one space; the mixture must keep the text."""
+        words = F.regexp_extract_all(F.col("row")[text_col], F.lit(f"({WORD})"), F.lit(1))
+        cut = self.pieces.where("n_words > 0").hint("merge").join(self.rows.select("rid", words.alias("w")), "rid").select(
             "sid", "block", F.struct("n_before", F.slice("w", F.col("from_word") + 1, F.col("n_words").cast("int")).alias("w")).alias("p")
         )
         # at most one piece per word of the block, so this list is bounded by the block length
@@ -52,26 +59,57 @@ class Mixture:
         return self.slots.hint("merge").join(whole, ["sid", "block"]).select("shard", "slot", "text")
 
 
+def fixed_keys(name: str, n: int, rounds: int = ROUNDS) -> str:
+    """SQL of the round keys of one permutation of 0 to n - 1, as literals."""
+    out = []
+    for r in range(1, rounds + 1):
+        d = hashlib.md5(f"{name}:{r}".encode()).hexdigest()
+        out.append(f"named_struct('k', {int(d[:15], 16) % n}L, 'a', {int(d[15:23], 16) % PRIME + 1}L, 'b', {int(d[23:31], 16) % PRIME + 1}L)")
+    return f"array({', '.join(out)})"
+
+
+def keys_of(name: Column, n: str, rounds: int = ROUNDS) -> Column:
+    """The same round keys for a name in each row."""
+    part = lambda d, at, size: F.conv(F.substring(d, at, size), 16, 10).cast("long")
+    digests = F.transform(F.sequence(F.lit(1), F.lit(rounds)), lambda r: F.md5(F.concat(name, F.lit(":"), r.cast("string")).cast("binary")))
+    return F.transform(
+        digests, lambda d: F.struct((part(d, 1, 15) % F.col(n)).alias("k"), (part(d, 16, 8) % PRIME + 1).alias("a"), (part(d, 24, 8) % PRIME + 1).alias("b"))
+    )
+
+
+def permuted(x: str, n: str, keys: str) -> str:
+    """SQL of the place of x (0 to n - 1) under the permutation with these round keys."""
+    pair = f"greatest(v, pmod(r.k - v, {n}))"
+    bit = f"bit_count((({pair} % {PRIME}L) * r.a + ({pair} div {PRIME}L + 1L) * r.b) % {PRIME}L) & 1"
+    return f"aggregate({keys}, {x}, (v, r) -> if({bit} = 1, pmod(r.k - v, {n}), v))"
+
+
 def water_fill(sources: DataFrame, cap: float) -> DataFrame:
     """Adds target: total size shared by weight, none above cap times its size, the excess reshared.
 
-    A source stops at its cap exactly when cap * size / weight is under the level that the others reach,
-    so the sources sorted by that ratio are capped up to a point, found with running sums.
+    The level that free sources reach only rises as sources are capped, and a source is capped where
+    cap * size / weight is under it; so rounds of one aggregation each end at the exact level. Only sums
+    reach the driver.
     """
-    by = Window.orderBy("ratio", "sid")
-    whole = Window.partitionBy()
-    s = sources.withColumn("cap", F.col("size") * F.lit(float(cap))).withColumn("ratio", F.col("cap") / F.col("weight"))
-    s = s.withColumn("all", F.sum("size").over(whole).cast("double")).withColumn("all_w", F.sum("weight").over(whole).cast("double"))
-    before = by.rowsBetween(Window.unboundedPreceding, -1)
-    s = s.withColumn("cap_before", F.coalesce(F.sum("cap").over(before), F.lit(0.0)))
-    s = s.withColumn("w_before", F.coalesce(F.sum("weight").over(before), F.lit(0)).cast("double"))
-    level = (F.col("all") - F.col("cap_before")) / (F.col("all_w") - F.col("w_before"))
-    s = s.withColumn("level", level)
-    # the first source whose cap isn't under the level sets the level of all from it on
-    free = F.col("ratio") >= F.col("level") - 1e-12 * F.abs(F.col("level"))
-    s = s.withColumn("final", F.min_by(F.when(free, F.col("level")), F.when(free, F.struct("ratio", "sid"))).over(whole))
-    target = F.least(F.col("cap"), F.col("weight") * F.coalesce(F.col("final"), F.lit(float("inf"))))
-    return s.withColumn("target", target.cast("double")).select(*sources.columns, "target")
+    total, weight = sources.agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+    level, capped = total / max(weight, 1), 0
+    while True:
+        under = F.col("size") * F.lit(float(cap)) / F.col("weight") < F.lit(float(level))
+        size, held = sources.where(under).agg(F.coalesce(F.sum("size"), F.lit(0)), F.coalesce(F.sum("weight"), F.lit(0))).first()
+        if held in (capped, weight):
+            break
+        level, capped = (total - cap * size) / (weight - held), held
+    return sources.withColumn("target", F.least(F.col("size") * F.lit(float(cap)), F.col("weight") * F.lit(float(level))))
+
+
+def _numbered(sources: DataFrame) -> DataFrame:
+    """Adds sid: the place of a source in code-point order, null last, from a sort over all tasks."""
+    s = sources.orderBy(F.col("src").asc_nulls_last()).select("*", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("at"))
+    s = materialize(s, "mix-order")
+    # a row for each task of the sort
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    first = s.groupBy("part").agg(F.count(F.lit(1)).alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("first"))
+    return s.join(first, "part").select(*sources.columns, F.expr("first + at - shiftleft(cast(part as long), 33)").alias("sid"))
 
 
 def mix_sources(
@@ -79,6 +117,7 @@ def mix_sources(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    keep: list[str] | None = None,
     block_words: int = 64,
     slots_per_shard: int = 1024,
     cap: float = 3.0,
@@ -87,107 +126,79 @@ def mix_sources(
 ) -> Mixture:
     """Mix all documents: sources in code-point order (null last) weigh 1, 2, 3, repeating.
 
-    Null or blank texts have size 0 and give no words; a source without words has target 0; a row with a
-    null or repeated id has a piece of its own, but counts under its id in ``taken``. An empty table gives
-    an empty mixture. Only id, text and source are read, so other columns never clash.
+    Null or blank texts have size 0 and give no words; a source without words has target 0. Every row counts
+    by itself, also with a null or repeated id; equal rows are interchangeable, so reruns agree. An empty table
+    gives an empty mixture. ``keep`` columns are held in one struct, so no name clashes.
     """
     n_words = F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long")
-    h = hash60(F.xxhash64(F.lit(seed), F.col(id_col), F.col(text_col)))
+    ident = F.col(id_col).cast("long")
+    h = seeded_hash(F.concat(F.coalesce(ident.cast("string"), F.lit("null")), F.lit(":"), F.coalesce(F.col(text_col), F.lit(""))), seed)
+    row = F.struct(*[F.col(c) for c in keep or []]) if keep else F.lit(None).cast("string")
     rows = materialize(
-        docs.select(F.col(id_col).cast("long").alias("id"), F.col(source_col).alias("src"), n_words.alias("size"), h.alias("h")), "mix-rows"
+        docs.select(row.alias("row"), ident.alias("id"), F.col(source_col).alias("src"), n_words.alias("size"), h.alias("h"), F.monotonically_increasing_id().alias("rid")),
+        "mix-rows",
     )
-    # a row per source: metadata, small beside the documents
-    s = rows.groupBy("src").agg(F.sum("size").alias("size"), F.count(F.lit(1)).alias("n_docs"))
-    s = s.withColumn("sid", F.row_number().over(Window.orderBy(F.col("src").asc_nulls_last())) - 1)
-    s = water_fill(s.withColumn("weight", F.col("sid") % 3 + 1), cap)
-    s = s.withColumn("blocks", F.expr(f"(size + {block_words - 1}L) div {block_words}L"))
+    n_rows = rows.count()
+    sources = _numbered(rows.groupBy("src").agg(F.sum("size").alias("size")))
+    sources = water_fill(materialize(sources.withColumn("weight", F.col("sid") % 3 + 1), "mix-weights"), cap)
+    sources = sources.withColumn("blocks", F.expr(f"(size + {block_words - 1}L) div {block_words}L"))
     quota = F.least(F.round(F.try_divide(F.col("target") * F.col("blocks"), F.col("size"))), F.floor(F.lit(cap) * F.col("blocks")))
-    sources = materialize(s.withColumn("quota", F.coalesce(quota, F.lit(0)).cast("long")), "mix-sources")
+    sources = sources.withColumn("quota", F.coalesce(quota, F.lit(0)).cast("long"))
+    sources = materialize(running_base(sources, [], "sid", "quota", "lo"), "mix-sources")
 
-    total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
-    bits = bounded_tiles(total[0], rows_per_tile)
+    bits = bounded_tiles(n_rows, rows_per_tile)
     key = sources.select(F.col("src").alias("s2"), "sid")
-    placed = rows.join(key, F.col("src").eqNullSafe(F.col("s2"))).select("id", "sid", "size", "h").withColumn("tile", hash_tile(F.col("h"), bits))
+    placed = rows.drop("row").join(key, F.col("src").eqNullSafe(F.col("s2"))).drop("src", "s2").withColumn("tile", hash_tile(F.col("h"), bits))
     tiles = running_base(placed.groupBy("sid", "tile").agg(F.sum("size").alias("n")), ["sid"], "tile", "n", "before")
-    in_tile = Window.partitionBy("sid", "tile").orderBy("h", "id").rowsBetween(Window.unboundedPreceding, -1)
+    in_tile = Window.partitionBy("sid", "tile").orderBy("h", "id", "rid").rowsBetween(Window.unboundedPreceding, -1)
     documents = placed.withColumn("w", F.coalesce(F.sum("size").over(in_tile), F.lit(0))).join(
         tiles.select("sid", "tile", "before"), ["sid", "tile"]
-    ).select("id", "sid", "size", (F.col("w") + F.col("before")).alias("off"))
-    lo, hi = f"(off div {block_words}L)", f"((off + size - 1) div {block_words}L)"
-    pieces = documents.where("size > 0").select("id", "sid", "size", "off", F.explode(F.expr(f"sequence({lo}, {hi})")).alias("block")).select(
-        "sid", "block", "id", "off",
+    ).withColumn("off", F.col("w") + F.col("before"))
+    blocks = f"sequence(off div {block_words}L, (off + size - 1) div {block_words}L)"
+    nowhere = "array(-1L - pmod(rid, 4096L))"
+    pieces = documents.select("rid", "id", "sid", "size", "h", "off", F.explode(F.expr(f"if(size > 0, {blocks}, {nowhere})")).alias("block")).select(
+        "rid", "id", "sid", "size", "h", "block",
         F.expr(f"cast(greatest(0L, block * {block_words}L - off) as int)").alias("from_word"),
         F.expr(f"greatest(0L, off - block * {block_words}L)").alias("n_before"),
-        F.expr(f"least(off + size, (block + 1) * {block_words}L) - greatest(off, block * {block_words}L)").alias("n_words"),
+        F.expr(f"if(size > 0, least(off + size, (block + 1) * {block_words}L) - greatest(off, block * {block_words}L), 0L)").alias("n_words"),
     )
-    return Mixture(documents, sources, _slots(sources, slots_per_shard, seed, rows_per_tile), pieces)
+    return Mixture(rows, sources, _slots(sources, slots_per_shard, seed), pieces)
 
 
-def _slots(sources: DataFrame, per_shard: int, seed: int, rows_per_tile: int, cells: int = 1024) -> DataFrame:
+def _slots(sources: DataFrame, per_shard: int, seed: int) -> DataFrame:
     spark = sources.sparkSession
-    m, n_blocks = sources.agg(F.coalesce(F.sum("quota"), F.lit(0)), F.coalesce(F.sum("blocks"), F.lit(0))).first()
-    cum = sources.where("quota > 0").withColumn("hi", F.sum("quota").over(Window.orderBy("sid"))).withColumn("lo", F.col("hi") - F.col("quota"))
-    # the draw: a hash in [0, m) for each slot falls in one source's interval; intervals are cut at cell borders for an equi-join
-    width = max(1, -(-m // cells))
-    table = cum.select("sid", "lo", "hi", F.explode(F.expr(f"sequence(lo div {width}L, (hi - 1) div {width}L)")).alias("cell"))
-    drawn = spark.range(m).select(
-        F.expr(f"id div {per_shard}L").alias("shard"), F.pmod(F.xxhash64(F.lit(seed + 1), F.col("id")), F.lit(max(m, 1)).cast("long")).alias("u")
-    ).withColumn("cell", F.expr(f"u div {width}L"))
-    counts = drawn.join(table, "cell").where("u >= lo and u < hi").groupBy("shard", "sid").agg(F.count(F.lit(1)).alias("n"))
-    counts = materialize(counts, "mix-draws")
-    # settle: draws of a source beyond its quota pass to sources that fell short
-    counts = running_base(counts, ["sid"], "shard", "n", "start").join(sources.select("sid", "quota"), "sid")
-    counts = counts.withColumn("kept", F.expr("greatest(0L, least(n, quota - start))"))
-    free = running_base(counts.groupBy("shard").agg(F.sum(F.expr("n - kept")).alias("f")).where("f > 0"), [], "shard", "f", "at")
-    short = sources.join(counts.groupBy("sid").agg(F.sum("kept").alias("k")), "sid", "left").select(
-        "sid", F.expr("quota - coalesce(k, 0L)").alias("d")
-    ).where("d > 0")
-    short = running_base(short, [], "sid", "d", "at")
-    moved = free.select("shard", F.explode(F.expr("sequence(at, at + f - 1)")).alias("o")).hint("merge").join(
-        short.select("sid", F.explode(F.expr("sequence(at, at + d - 1)")).alias("o")), "o"
-    )
-    settled = counts.select("shard", "sid", F.col("kept").alias("n")).unionByName(moved.select("shard", "sid", F.lit(1).cast("long").alias("n")))
-    settled = settled.groupBy("shard", "sid").agg(F.sum("n").alias("n")).where("n > 0")
-    settled = running_base(settled, ["sid"], "shard", "n", "draw")
-    in_shard = Window.partitionBy("shard").orderBy("sid").rowsBetween(Window.unboundedPreceding, -1)
-    settled = settled.withColumn("slot0", F.coalesce(F.sum("n").over(in_shard), F.lit(0)))
-    # joined before the rows are exploded, as Spark's size estimate of exploded rows is that of the rows before
-    settled = settled.join(sources.select("sid", "blocks"), "sid")
-    draws = settled.select("shard", "sid", "slot0", "draw", "blocks", F.explode(F.expr("sequence(0L, n - 1)")).alias("i")).select(
-        "shard", (F.col("slot0") + F.col("i")).alias("slot"), "sid",
-        # each pass over the source starts elsewhere in its permutation
-        F.expr(f"pmod((draw + i) % blocks + pmod(xxhash64({seed}, sid, (draw + i) div blocks), blocks), blocks)").alias("j"),
+    n, m = sources.agg(F.count(F.lit(1)), F.coalesce(F.sum("quota"), F.lit(0))).first()
+    # a range of drawn numbers for each pass over a source, cut at the borders of cells so that the join has a key; there
+    # are as many cells as ranges, so that a draw meets few of them
+    width = max(1, -(-m // max(1, min(2 * n, MOST_CELLS))))
+    passes = sources.where("quota > 0").withColumn("pass", F.explode(F.expr("sequence(0L, (quota - 1) div blocks)"))).select(
+        "sid", "blocks", F.expr("lo + pass * blocks").alias("lo"), F.expr("least(lo + quota, lo + (pass + 1) * blocks)").alias("hi"),
+        keys_of(F.concat(F.lit(f"{seed}:"), F.col("sid").cast("string"), F.lit(":"), F.col("pass").cast("string")), "blocks").alias("keys"),
     )
-    # the permutation: rank of a block's hash among its source's blocks
-    bits = bounded_tiles(n_blocks, rows_per_tile)
-    b = sources.where("blocks > 0").select("sid", F.explode(F.expr("sequence(0L, blocks - 1)")).alias("block"))
-    b = b.withColumn("h", hash60(F.xxhash64(F.lit(seed + 2), "sid", "block"))).withColumn("tile", hash_tile(F.col("h"), bits))
-    tiles = running_base(b.groupBy("sid", "tile").agg(F.count(F.lit(1)).alias("n")), ["sid"], "tile", "n", "before")
-    rank = F.row_number().over(Window.partitionBy("sid", "tile").orderBy("h", "block"))
-    perm = b.withColumn("r", rank).hint("merge").join(tiles.select("sid", "tile", "before"), ["sid", "tile"]).select(
-        "sid", "block", (F.col("r") + F.col("before") - 1).alias("j")
-    )
-    return draws.hint("merge").join(perm, ["sid", "j"]).select("shard", "slot", "sid", "block")
+    cells = materialize(passes.withColumn("cell", F.explode(F.expr(f"sequence(lo div {width}L, (hi - 1) div {width}L)"))), "mix-cells")
+    drawn = spark.range(0, m, 1, max(spark.sparkContext.defaultParallelism, -(-m // (1 << 20)))).select(
+        F.expr(f"id div {per_shard}L").alias("shard"), F.expr(f"id % {per_shard}L").alias("slot"),
+        F.expr(permuted("id", f"{max(m, 1)}L", fixed_keys(f"{seed}:slots", max(m, 1)))).alias("u"),
+    ).withColumn("cell", F.expr(f"u div {width}L"))
+    met = drawn.join(cells, "cell").where("u >= lo and u < hi")
+    return met.select("shard", "slot", "sid", F.expr(permuted("u - lo", "blocks", "keys")).alias("block"))
 
 
 def mixed_documents(docs: DataFrame, seed: int = 29, **options) -> DataFrame:
-    """Whole documents repeated as the mixture takes them: floor or ceiling of taken / size, by a seeded hash of the id.
+    """Whole rows repeated as the mixture takes them: floor or ceiling of taken / size, by a seeded hash of id and text.
 
-    A document of size 0 is dropped, as the mixture takes no words of it.
+    A row of size 0 (a null or blank text) is dropped, as the mixture takes no words of it; a row with a null or
+    repeated id is treated by itself. The columns are those of ``docs``, whatever their names; an empty table stays empty.
     """
-    mix = mix_sources(docs, seed=seed, **options)
-    words = F.coalesce(F.regexp_count(F.col("text"), F.lit(WORD)), F.lit(0)).cast("long")
-    size = mix.taken().groupBy("id").agg(F.sum("size").alias("mix_size"), F.sum("taken").alias("taken"))
-    u = F.pmod(F.xxhash64(F.lit(seed + 3), F.col("mix_id")), F.lit(1 << 30)) / F.lit(float(1 << 30))
-    copies = F.floor(F.coalesce(F.col("taken"), F.lit(0)) / F.col("mix_size") + u).cast("int")
-    plan = size.where("mix_size > 0").withColumnRenamed("id", "mix_id").withColumn("copies", copies).where("copies > 0")
-    out = docs.where(words > 0).join(plan.select("mix_id", "copies"), F.col("doc_id") == F.col("mix_id"))
-    return out.withColumn("mix_copy", F.explode(F.sequence(F.lit(1), F.col("copies")))).select(*docs.columns)
+    mix = mix_sources(docs, seed=seed, keep=docs.columns, **options)
+    u = F.pmod(F.xxhash64(F.lit(seed + 3), F.col("h")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    plan = mix.taken().where("size > 0").select("rid", F.floor(F.col("taken") / F.col("size") + u).cast("int").alias("copies")).where("copies > 0")
+    out = mix.rows.select("rid", "row").join(plan, "rid")
+    return out.select("row", F.explode(F.sequence(F.lit(1), F.col("copies")))).select("row.*")
 
 
 def op8_mixing(spark, sf_dir: str) -> DataFrame:
     """All documents mixed: each one's words, its source's words and target, and the words the mix takes of it."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    mix = mix_sources(docs)
+    mix = mix_sources(spark.read.parquet(f"{sf_dir}/documents.parquet"))
     sources = mix.sources.select("sid", F.col("src").alias("source"), F.col("size").alias("source_size"), "target")
     return mix.taken().join(sources, "sid").select(F.col("id").alias("doc_id"), "size", "source_size", "target", "taken", "source")

@@ -6,7 +6,7 @@ from .ann import op5_ann
 from .decontaminate import op2_decontamination
 from .lm_score import op7_lm_scoring
 from .minhash import op10_minhash
-from .mixing import op8_mixing
+from .mixing import PRIME, ROUNDS, op8_mixing
 from .pii import op4_pii
 from .quality import op9_quality
 from .sharding import op1_sharding
@@ -28,6 +28,16 @@ QUERIES = {
 
 _WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
+
+def _permuted(x: str, n: str, name: str) -> str:
+    """The place of x under the swap-or-not permutation of 0 to n - 1 with the round keys of ``name``."""
+    part = lambda at, size: f"list_transform(range(1, {ROUNDS + 1}), lambda r: ('0x' || substr(md5({name} || ':' || r), {at}, {size}))::bigint)"
+    other = f"((({part(1, 15)}[r] % {n} - v) % {n} + {n}) % {n})"
+    pair = f"greatest(v, {other})"
+    bit = f"bit_count((({pair} % {PRIME}) * ({part(16, 8)}[r] % {PRIME} + 1) + ({pair} // {PRIME} + 1) * ({part(24, 8)}[r] % {PRIME} + 1)) % {PRIME}) & 1"
+    return f"list_reduce(list_prepend({x}, range(1, {ROUNDS + 1})), lambda v, r: case when {bit} = 1 then {other} else v end)"
+
+
 ORACLE_SQL = {
     "op1_sharding": """
 with step as (select list(c order by n) as crc_table from (
@@ -71,6 +81,30 @@ per as (select doc_id, list(word) as gone_words from gone group by doc_id)
 select doc_id, len(w)::bigint as n_words, coalesce(len(gone_words), 0)::bigint as n_removed,
        sha256(coalesce(array_to_string(list_filter(w, lambda x, i: not list_contains(coalesce(gone_words, []), i)), ' '), '')) as kept_sha256
 from d left join per using (doc_id)
+""",
+    "op8_mixing": f"""
+with d as (
+  select doc_id, source, coalesce(len({_WORDS.format("text")}), 0)::bigint as size,
+         ('0x' || substr(md5('29:' || coalesce(doc_id::varchar, 'null') || ':' || coalesce(text, '')), 1, 15))::bigint as h from documents),
+g as (select source, sum(size)::bigint as size, row_number() over (order by source nulls last) - 1 as sid from d group by source),
+w as (select *, sid % 3 + 1 as weight, size * 3::double / (sid % 3 + 1) as ratio, sum(size) over () as total, sum(sid % 3 + 1) over () as w_all from g),
+l as (select *, (total - 3::double * coalesce(sum(size) over before, 0)) / (w_all - coalesce(sum(weight) over before, 0)) as level
+      from w window before as (order by ratio, sid rows between unbounded preceding and 1 preceding)),
+f as (select arg_min(level, ratio) as level from l where ratio >= level),
+t as (select source, sid, size, least(size * 3::double, weight * f.level) as target, (size + 63) // 64 as blocks from l, f),
+q as (select *, case when size > 0 then least(round(target * blocks / size), floor(3::double * blocks))::bigint else 0 end as quota from t),
+s as (select *, (sum(quota) over (order by sid) - quota)::bigint as lo, sum(quota) over ()::bigint as m from q),
+p as (select sid, blocks, pass, lo + pass * blocks as lo, least(lo + quota, lo + (pass + 1) * blocks) as hi
+      from s, lateral (select unnest(range((quota + blocks - 1) // greatest(blocks, 1))) as pass)),
+u as (select {_permuted("i", "m", "'29:slots'")} as u from (select m, unnest(range(m)) as i from (select distinct m from s))),
+c as (select sid, {_permuted("(u - lo)", "blocks", "('29:' || sid || ':' || pass)")} as block from u join p on u.u >= p.lo and u.u < p.hi),
+n as (select sid, block, count(*) as copies from c group by all),
+o as (select doc_id, sid, d.size, (sum(d.size) over (partition by sid order by h, doc_id) - d.size)::bigint as off
+      from d join s on d.source is not distinct from s.source),
+k as (select *, unnest(range(off // 64, (off + size - 1) // 64 + 1)) as block from o where size > 0),
+taken as (select k.doc_id, k.sid, sum(copies * (least(off + size, (block + 1) * 64) - greatest(off, block * 64))) as taken from k join n using (sid, block) group by all)
+select o.doc_id, o.size, s.size as source_size, s.target, coalesce(taken, 0)::bigint as taken, s.source
+from o join s using (sid) left join taken on taken.doc_id = o.doc_id and taken.sid = o.sid
 """,
     "op10_minhash": f"""
 with recursive d as (

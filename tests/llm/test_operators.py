@@ -86,35 +86,79 @@ def test_water_filling(spark, sizes):
 
 
 def test_mixture(spark, corpus):
-    texts = [(d, t) for d, t in corpus if t is None or len(t) < 50_000]
-    df = docs_frame(spark, texts + texts[:3])
+    texts = corpus + corpus[:3] + [(None, "a b c"), (None, "a b c"), (None, None)]
+    df = docs_frame(spark, texts)
     mix = mixing.mix_sources(df, block_words=8, slots_per_shard=32, rows_per_tile=8)
     rows = mix.taken().collect()
-    assert len(rows) == df.count() and sorted(r["size"] for r in rows) == sorted(len(brute.WORD.findall(t or "")) for _, t in texts + texts[:3])
+    assert len(rows) == df.count() and sorted(r["size"] for r in rows) == sorted(len(brute.WORD.findall(t or "")) for _, t in texts)
     assert all(r["taken"] <= 3 * r["size"] for r in rows)
     sources = {r["sid"]: r for r in mix.sources.collect()}
+    assert [sources[i]["src"] for i in range(len(sources))] == sorted({r["source"] for r in df.select("source").collect() if r["source"]}) + [None]
+    want = brute.targets({i: r["size"] for i, r in sources.items()}, {i: i % 3 + 1 for i in sources})
+    assert {i: r["target"] for i, r in sources.items()} == pytest.approx(want)
     taken = {s: sum(v) for s, v in brute.group((r["sid"], r["taken"]) for r in rows).items()}
     for s, r in sources.items():
         assert abs(taken[s] - r["target"]) <= 16
     slots = mix.slots.collect()
-    assert len({(r["shard"], r["slot"]) for r in slots}) == len(slots)
     by_shard = brute.group((r["shard"], r["slot"]) for r in slots)
     assert all(sorted(v) == list(range(len(v))) for v in by_shard.values()) and all(len(v) == 32 for k, v in by_shard.items() if k < max(by_shard))
     # a source's passes use each block once: copies differ by one at most
-    for s, copies in brute.group((k[0], n) for k, n in {(r["sid"], r["block"]): sum(1 for x in slots if (x["sid"], x["block"]) == (r["sid"], r["block"])) for r in slots}.items()).items():
-        assert max(copies) - (min(copies) if len(copies) == sources[s]["blocks"] else 0) <= 1
-    assert sorted(map(tuple, rows)) == sorted(map(tuple, mixing.mix_sources(df.repartition(5), block_words=8, slots_per_shard=32, rows_per_tile=8).taken().collect()))
+    used = brute.group(((r["sid"], r["block"]), 1) for r in slots)
+    for s, copies in brute.group((k[0], len(v)) for k, v in used.items()).items():
+        assert max(copies) - (min(copies) if len(copies) == sources[s]["blocks"] else 0) <= 1 and sum(copies) == sources[s]["quota"]
+    # what each row gives, from the blocks by hand: rows in the order of their hash, one stream for each source
+    for s in sources:
+        at = 0
+        for r in sorted((r for r in rows if r["sid"] == s), key=lambda r: (r["h"], r["id"] is not None, r["id"] or 0, r["rid"])):
+            assert r["taken"] == sum(len(used.get((s, w // 8), [])) for w in range(at, at + r["size"]))
+            at += r["size"]
+    plain = lambda rows: sorted((str(r["id"]), r["size"], r["taken"]) for r in rows)
+    assert plain(rows) == plain(mixing.mix_sources(df.repartition(5), block_words=8, slots_per_shard=32, rows_per_tile=8).taken().collect())
+
+
+def test_mixture_draws_at_random(spark):
+    """Permutations are whole, and shards' counts scatter as a draw without replacement does."""
+    for n in (1, 2, 3, 100, 1000):
+        got = [r[0] for r in spark.range(n).select(F.expr(mixing.permuted("id", f"{n}L", mixing.fixed_keys("t", n)))).collect()]
+        keyed = spark.range(n).select("id", F.lit(n).cast("long").alias("n")).withColumn("keys", mixing.keys_of(F.lit("t"), "n"))
+        assert sorted(got) == list(range(n)) and got == [r[0] for r in keyed.select(F.expr(mixing.permuted("id", "n", "keys"))).collect()]
+    n, rows = 40_000, 100
+    got = np.array([r[0] for r in spark.range(n).select(F.expr(mixing.permuted("id", f"{n}L", mixing.fixed_keys("u", n)))).collect()])
+    hits = (got < n // 4).reshape(rows, -1).sum(1)
+    want = n / rows * 0.25 * 0.75
+    assert 0.6 * want < hits.var() < 1.5 * want and abs(np.corrcoef(got[1:], got[:-1])[0, 1]) < 0.02
+    assert np.bincount((got[1:] - got[:-1]) % n).max() <= 12
+
+
+def test_mixture_of_many_sources(spark):
+    """100,000 sources of one row, beside one that holds a third of all rows."""
+    one = spark.range(100_000).select("id", F.concat(F.lit("s"), F.col("id")).alias("source"))
+    df = one.unionAll(spark.range(100_000, 150_000).select("id", F.lit("hot"))).select(F.col("id").alias("doc_id"), "source", F.lit("a b c d e").alias("text"))
+    mix = mixing.mix_sources(df, block_words=4, slots_per_shard=1024)
+    got = mix.taken().join(mix.sources.select("sid", "target", F.col("size").alias("all")), "sid")
+    by = got.groupBy("sid", "target", "all").agg(F.sum("taken").alias("taken"), F.max(F.col("taken") / F.col("size")).alias("most"))
+    far = by.select(F.count("*").alias("n"), F.sum("target").alias("target"), F.sum("all").alias("all"), F.max(F.abs(F.col("taken") - F.col("target"))).alias("off"), F.max("most").alias("most")).first()
+    assert far["n"] == 100_001 and far["target"] == pytest.approx(far["all"]) == 750_000 and far["off"] <= 8 and far["most"] <= 3
+    assert mix.sources.agg(F.sum("quota")).first()[0] == mix.slots.count()
 
 
 def test_mixture_block_texts(spark):
     df = docs_frame(spark, [(1, "a b c d e"), (2, "f g h"), (3, None), (4, "i j k l")], extra=False).withColumn("source", F.lit("s"))
-    mix = mixing.mix_sources(df, block_words=4, slots_per_shard=2)
-    texts = sorted(r["text"] for r in mix.block_texts(df).collect())
+    mix = mixing.mix_sources(df, block_words=4, slots_per_shard=2, keep=["text"])
+    texts = sorted(r["text"] for r in mix.block_texts().collect())
     assert sorted(" ".join(texts).split()) == list("abcdefghijkl") and all(len(t.split()) == 4 for t in texts)
     assert mixing.mix_sources(docs_frame(spark, [])).taken().count() == 0
     assert mixing.mixed_documents(docs_frame(spark, [(1, None)], extra=False)).count() == 0
 
 
+def test_mixed_rows_with_null_and_repeated_ids(spark):
+    """One source: every row with words is taken once, whatever its id and other columns."""
+    rows = [(None, "a b c"), (None, "a b c"), (None, "d e"), (3, "x y"), (3, "x y"), (3, "z"), (4, None), (5, "")]
+    df = docs_frame(spark, rows).withColumn("source", F.lit("s")).withColumns({c: F.lit("clash") for c in ("copies", "row", "taken", "mix_id")})
+    out = mixing.mixed_documents(df, block_words=1)
+    assert sorted(map(str, ((r["doc_id"], r["text"]) for r in out.collect()))) == sorted(map(str, rows[:6])) and out.columns == df.columns
+
+
 @pytest.mark.parametrize(("k", "num"), [(3, 85), (5, 80)])
 def test_near_duplicates(spark, corpus, k, num):
     want = brute.components(corpus, k, num, 100)
