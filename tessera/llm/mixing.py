@@ -77,11 +77,12 @@ def keys_of(name: Column, n: str, rounds: int = ROUNDS) -> Column:
     )
 
 
-def permuted(x: str, n: str, keys: str) -> str:
-    """SQL of the place of x (0 to n - 1) under the permutation with these round keys."""
+def permuted(x: str, n: str, keys: str, most: int = 1 << 62) -> str:
+    """SQL of the place of x (0 to n - 1) under the permutation with these round keys; n is at most ``most``."""
     pair = f"greatest(v, pmod(r.k - v, {n}))"
-    bit = f"bit_count((({pair} % {PRIME}L) * r.a + ({pair} div {PRIME}L + 1L) * r.b) % {PRIME}L) & 1"
-    return f"aggregate({keys}, {x}, (v, r) -> if({bit} = 1, pmod(r.k - v, {n}), v))"
+    # the first form is the second one where the pair's quotient is 0
+    value = f"{pair} * r.a + r.b" if most <= PRIME else f"({pair} % {PRIME}L) * r.a + ({pair} div {PRIME}L + 1L) * r.b"
+    return f"aggregate({keys}, {x}, (v, r) -> if(bit_count(({value}) % {PRIME}L) & 1 = 1, pmod(r.k - v, {n}), v))"
 
 
 def water_fill(sources: DataFrame, cap: float) -> DataFrame:
@@ -178,10 +179,10 @@ def _slots(sources: DataFrame, per_shard: int, seed: int) -> DataFrame:
     cells = materialize(passes.withColumn("cell", F.explode(F.expr(f"sequence(lo div {width}L, (hi - 1) div {width}L)"))), "mix-cells")
     drawn = spark.range(0, m, 1, max(spark.sparkContext.defaultParallelism, -(-m // (1 << 20)))).select(
         F.expr(f"id div {per_shard}L").alias("shard"), F.expr(f"id % {per_shard}L").alias("slot"),
-        F.expr(permuted("id", f"{max(m, 1)}L", fixed_keys(f"{seed}:slots", max(m, 1)))).alias("u"),
+        F.expr(permuted("id", f"{max(m, 1)}L", fixed_keys(f"{seed}:slots", max(m, 1)), m)).alias("u"),
     ).withColumn("cell", F.expr(f"u div {width}L"))
     met = drawn.join(cells, "cell").where("u >= lo and u < hi")
-    return met.select("shard", "slot", "sid", F.expr(permuted("u - lo", "blocks", "keys")).alias("block"))
+    return met.select("shard", "slot", "sid", F.expr(permuted("u - lo", "blocks", "keys", m + n)).alias("block"))
 
 
 def mixed_documents(docs: DataFrame, seed: int = 29, **options) -> DataFrame:
