@@ -41,11 +41,15 @@ def warc_records(pages: DataFrame, min_bytes: int, segment_chars: int, chunk_cha
         F.col("page_id").cast("long").alias("page_id"), F.coalesce("url", F.lit("")).alias("url"), F.coalesce("html", F.lit("")).alias("body")
     ).withColumn("sha", F.unhex(F.sha1(F.col("body").cast("binary"))))
     p = p.withColumn("uri", F.regexp_replace(F.regexp_replace("url", "[\r\n]", " "), "^$", "about:blank")).drop("url")
-    # for each payload the smallest id, from partial minima of each task; as a table of its own, so that the join below
-    # meets two plain exchanges, whose hot partitions Spark splits
-    first = materialize(p.where(F.octet_length("body") >= min_bytes).groupBy("sha").agg(F.min("page_id").alias("first")), "warc-first")
-    p = p.join(first, "sha", "left").withColumn("again", F.coalesce((F.octet_length("body") >= min_bytes) & ~F.col("page_id").eqNullSafe(F.col("first")), F.lit(False)))
-    rid = _uuid_of(F.lit("response"), F.coalesce(F.col("page_id").cast("string"), F.concat(F.lit("null"), F.col("uri"))))
+    # for each payload the record with the smallest id, from partial minima of each task; as a table of its own, so that the
+    # join below meets two plain exchanges, whose hot partitions Spark splits
+    origin = F.min(F.when(F.col("page_id").isNotNull(), F.struct("page_id", "uri"))).alias("first")
+    first = materialize(p.where(F.octet_length("body") >= min_bytes).groupBy("sha").agg(origin), "warc-first")
+    other = F.col("first").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("first.page_id"))
+    p = p.join(first, "sha", "left").withColumn("again", F.coalesce((F.octet_length("body") >= min_bytes) & other, F.lit(False)))
+    # known by id, address and payload: pages that share an id but not the payload are records of their own
+    named = lambda page, uri: _uuid_of(F.lit("record"), F.coalesce(page.cast("string"), F.lit("null")), F.hex("sha"), uri)
+    rid = named(F.col("page_id"), F.col("uri"))
     chunk = lambda x: F.concat(F.lower(F.conv(F.octet_length(x).cast("string"), 10, 16)), F.lit(CRLF), x, F.lit(CRLF))
     n_chunks = F.ceil(F.length("body") / F.lit(chunk_chars)).cast("int")
     pieces = F.when(F.length("body") == 0, F.array().cast("array<string>")).otherwise(
@@ -53,8 +57,9 @@ def warc_records(pages: DataFrame, min_bytes: int, segment_chars: int, chunk_cha
     )
     http = F.lit(f"HTTP/1.1 200 OK{CRLF}Content-Type: text/html; charset=utf-8{CRLF}Transfer-Encoding: chunked{CRLF}{CRLF}")
     block = F.concat(http, F.array_join(F.transform(pieces, chunk), ""), F.lit(f"0{CRLF}{CRLF}"))
-    target = F.when(F.col("again"), _uuid_of(F.lit("response"), F.col("first").cast("string")))
-    p = p.withColumn("rid", rid).withColumn("target", target).withColumn("block", F.when(F.col("again"), F.lit(f"HTTP/1.1 200 OK{CRLF}{CRLF}")).otherwise(block))
+    target = F.when(F.col("again"), named(F.col("first.page_id"), F.col("first.uri")))
+    block = F.when(F.col("again"), F.lit(f"HTTP/1.1 200 OK{CRLF}{CRLF}")).otherwise(block)
+    p = p.withColumn("rid", rid).withColumn("target", target).withColumn("block", block)
     n_seg = F.greatest(F.lit(1), F.ceil(F.length("block") / F.lit(segment_chars)).cast("int"))
     seg = p.withColumn("total", F.octet_length("block")).withColumn("segs", n_seg).withColumn("i", F.explode(F.sequence(F.lit(1), F.col("segs"))))
     seg = seg.withColumn("part", F.substring(F.col("block"), (F.col("i") - 1) * segment_chars + 1, F.lit(segment_chars)))
@@ -80,10 +85,22 @@ def warc_records(pages: DataFrame, min_bytes: int, segment_chars: int, chunk_cha
     return seg.select(record.alias("value"))
 
 
-def write_warc(pages: DataFrame, path: str | None = None, min_bytes: int = 0, segment_chars: int = 8192, chunk_chars: int = 2048, file_bytes: int = 32 << 20, date: str = "2024-01-01T00:00:00Z", level: str = "BEST_SPEED") -> str:
+def write_warc(
+    pages: DataFrame,
+    path: str | None = None,
+    min_bytes: int = 0,
+    segment_chars: int = 8192,
+    chunk_chars: int = 2048,
+    file_bytes: int = 32 << 20,
+    date: str = "2024-01-01T00:00:00Z",
+    level: str = "BEST_SPEED",
+) -> str:
     """Write gzip WARC files (through Spark's writer, so to any store) and return their folder.
 
-    A null html is an empty payload, a null url ``about:blank``. Pages that repeat an id get equal record ids.
+    A null html is an empty payload, a null url ``about:blank``. A page whose payload occurs under a smaller id is a
+    revisit, also if its own id is null; payloads that occur under null ids only are all responses. Pages that share
+    an id are told apart by address and payload; rows equal in all three are one record, written as often as they
+    occur, and all responses if their id is the smallest of their payload. No page gives an empty folder.
     """
     spark = pages.sparkSession
     path = path or f"{shared_dir(spark)}/warc-{uuid.uuid4().hex}"
@@ -151,6 +168,10 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
     def split(batches: Iterator[pa.RecordBatch], segmented: bool) -> Iterator[pa.RecordBatch]:
         names = [x.split()[0] for x in kind.split(", ")]
         types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int32(), pa.int64(), pa.binary()]
+
+        def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+
         for batch in batches:
             for content in batch.column(0):
                 raw = content.as_py()
@@ -161,13 +182,17 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
                         continue
                     rid = h["warc-record-id"].strip("<>")
                     page = h.get("x-page-id")
-                    rows.append((rid, h.get("warc-segment-origin-id", rid).strip("<>"), h["warc-type"], int(page) if page else None, h.get("warc-target-uri"), (h.get("warc-refers-to") or "").strip("<>") or None, int(h.get("warc-segment-number", 1)), int(h["warc-segment-total-length"]) if "warc-segment-total-length" in h else (len(block) if "warc-segment-number" not in h else None), block))
+                    origin, refers = h.get("warc-segment-origin-id", rid).strip("<>"), (h.get("warc-refers-to") or "").strip("<>") or None
+                    # the last segment tells the total; a record in one piece is its own total
+                    total = h.get("warc-segment-total-length", None if "warc-segment-number" in h else len(block))
+                    number, total = int(h.get("warc-segment-number", 1)), None if total is None else int(total)
+                    rows.append((rid, origin, h["warc-type"], int(page) if page else None, h.get("warc-target-uri"), refers, number, total, block))
                     held += len(block)
                     if held > 4 << 20:
-                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                        yield batch_of(rows)
                         rows, held = [], 0
                 if rows:
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=names)
+                    yield batch_of(rows)
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.gz").load(path).select("content")
     fields = F.struct("segment", "block", "record_type", "page_id", "uri", "refers_to_id", "record_id", "total")
@@ -181,7 +206,7 @@ def read_warc(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             out = []
             for segs in batch.column(0).to_pylist():
-                # equal records (of pages that repeat an id) come as equal segments
+                # a record written several times (of equal rows) comes as that many equal segments of each number
                 by = {}
                 for s in segs:
                     by.setdefault(s["segment"], []).append(s)
@@ -225,8 +250,10 @@ def op3_warc(spark, sf_dir: str) -> DataFrame:
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     records = payload_digests(read_warc(spark, write_warc(pages)))
     records = materialize(records, "warc-records")
-    origin = records.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_id")).agg(
-        F.min("page_id").alias("refers_to"), F.min("payload_bytes").alias("full"), F.min("payload_digest").alias("digest")
+    # records of one id are equal, so any of them will do, but all values come from the same one
+    one = F.min(F.struct("page_id", "payload_bytes", "payload_digest")).alias("one")
+    origin = records.where("record_type = 'response'").groupBy(F.col("record_id").alias("refers_to_id")).agg(one).select(
+        "refers_to_id", F.col("one.page_id").alias("refers_to"), F.col("one.payload_bytes").alias("full"), F.col("one.payload_digest").alias("digest")
     )
     none = F.lit(None).cast("long").alias("refers_to")
     response = records.where("record_type = 'response'").select("page_id", "payload_bytes", "payload_digest", "record_type", none, "problem")

@@ -349,6 +349,23 @@ def test_warc_query_digests(spark, tmp_path):
     assert warc.op3_warc(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_warc_query_on_repeated_ids(spark, tmp_path):
+    """Equal and different payloads under equal ids, short and segmented, against a plain version."""
+    long = ["a" * 30_000, "b" * 20_000, "é" * 9_000]
+    rows = [(1, "u", long[0]), (1, "u", long[1]), (2, "u", long[1]), (2, "u", long[1]), (2, "v", long[2]), (1, "w", long[2]), (1, "x", long[2])]
+    rows += [(3, "u", "x"), (3, "u", "y"), (4, "u", "y"), (4, "u", "y"), (4, None, "z"), (4, None, "z"), (None, "u", "x"), (None, "u", "q"), (None, "w", "q"), (9, "u", None), (9, "u", "")]
+    page_frame(spark, rows).write.parquet(str(tmp_path / "pages.parquet"))
+    columns = ("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "problem")
+    got = sorted(str(tuple(r[c] for c in columns)) for r in warc.op3_warc(spark, str(tmp_path)).collect())
+    first = {t or "": min((i for i, _, x in rows if (x or "") == (t or "") and i is not None), default=None) for _, _, t in rows}
+    want = []
+    for i, _, t in rows:
+        raw, lead = (t or "").encode(), first[t or ""]
+        again = lead is not None and i != lead
+        want.append(str((i, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "revisit" if again else "response", lead if again else None, None)))
+    assert got == sorted(want)
+
+
 @pytest.mark.parametrize("blocks", [(8192, 2048), (32, 8)])
 def test_nearest_is_exact(spark, monkeypatch, blocks):
     monkeypatch.setattr(ann, "CANDIDATES", blocks[0])
