@@ -6,37 +6,25 @@ separators never occur inside a multi-byte character, so splitting bytes is exac
 
 from __future__ import annotations
 
+import hashlib
 import math
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..storage import shared_dir, stored
+
+__all__ = ["shared_dir"]
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 21
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor sees: ``spark.checkpoint.dir``, or a new one where it is unset."""
-    sc = spark.sparkContext
-    given = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not given:
-        given = tempfile.mkdtemp(prefix="tessera-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(given)
-    return given.rstrip("/")
-
-
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once into the shared folder and read it back, which cuts its lineage."""
-    spark = df.sparkSession
-    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return stored(df, name)
 
 
 def bounded_tiles(n_rows: int, rows_per_tile: int = 2048) -> int:
@@ -112,6 +100,62 @@ def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     return have
 
 
+#: words up to this many bytes are hashed in arrays, eight bytes at a time; longer ones are few
+SHORT_WORD = 64
+_HEAD = np.array([0] + [(1 << 8 * i) - 1 for i in range(1, 9)], np.uint64)
+
+
+def eight_bytes(data: np.ndarray) -> np.ndarray:
+    """At each byte, it and the seven after it (0 past the end) as one number, without a copy for each."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded, strides=(1,))
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges: a chain of mixed eight-byte parts, or BLAKE2b of a long range.
+
+    Ranges of up to eight bytes have distinct hashes if their lengths are equal; no algebraic structure of the
+    bytes carries over to the hash.
+    """
+    eight, size = eight_bytes(data), end - start
+    h = mix64(size.astype(np.uint64) + _BASE)
+    at, part = np.arange(len(start)), start
+    for k in range(0, SHORT_WORD, 8):
+        if k:
+            at = at[size[at] > k]
+            part = start[at] + k
+        if not len(at):
+            break
+        with np.errstate(over="ignore"):
+            h[at] = mix64((h[at] ^ (eight[part] & _HEAD[np.minimum(size[at] - k, 8)])) * _M2)
+    for i in np.flatnonzero(size > SHORT_WORD).tolist():
+        h[i] = int.from_bytes(hashlib.blake2b(data[start[i] : end[i]].tobytes(), digest_size=8).digest(), "little")
+    return h
+
+
+def exact_ids(data: np.ndarray, start: np.ndarray, end: np.ndarray, h: np.ndarray) -> np.ndarray:
+    """A number for each byte range, equal exactly where the bytes are; hashes only speed it up."""
+    _, first, ids = np.unique(h, return_index=True, return_inverse=True)
+    lead, size = first[ids], end - start
+    same = size == size[lead]
+    eight = eight_bytes(data)
+    at = np.flatnonzero(same & (np.arange(len(start)) != lead))
+    for k in range(0, SHORT_WORD, 8):
+        at = at[size[at] > k]
+        if not len(at):
+            break
+        head = _HEAD[np.minimum(size[at] - k, 8)]
+        same[at] &= (eight[start[at] + k] & head) == (eight[start[lead[at]] + k] & head)
+    for i in at[size[at] > SHORT_WORD].tolist():
+        j = lead[i]
+        same[i] &= bool(np.array_equal(data[start[i] : end[i]], data[start[j] : end[j]]))
+    if same.all():
+        return ids
+    seen: dict[bytes, int] = {}
+    return np.array([seen.setdefault(data[a:b].tobytes(), len(seen)) for a, b in zip(start.tolist(), end.tolist(), strict=True)], np.int64)
+
+
 class Words:
     """Words of a run of texts: byte ranges, 64-bit hashes, and each text's range of words."""
 
@@ -145,13 +189,12 @@ class Words:
             second = np.zeros(n, bool)
             second[1:] = data[:-1] == 0xC3
             folded = folded + np.uint8(32) * (second & (data >= 0x80) & (data <= 0x9E) & (data != 0x97))
-        body = folded.astype(np.uint64) + np.uint64(1)
-        p, inv = powers(int(_BASE), n)
-        body *= p[:n]
-        total = np.zeros(n + 1, np.uint64)
-        np.cumsum(body, out=total[1:])
-        h = (total[self.end] - total[self.start]) * inv[self.start]
-        self.hash = mix64(h ^ ((self.end - self.start).astype(np.uint64) << np.uint64(48)))
+        self.folded = folded
+        self.hash = word_hashes(folded, self.start, self.end)
+
+    def exact(self) -> np.ndarray:
+        """A number for each word, equal exactly where the words are."""
+        return exact_ids(self.folded, self.start, self.end, self.hash)
 
     @property
     def text_end(self) -> np.ndarray:

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tessera.llm import ann, decontaminate, lm_score, minhash, mixing, pii, quality, sharding, substring, warc
+from tessera.llm import ann, common, decontaminate, lm_score, minhash, mixing, pii, quality, sharding, substring, warc
 from tessera.llm.common import materialize, running_base
 from tessera.llm.graph import connected_components
 
@@ -234,15 +234,64 @@ def test_components(spark):
     assert got == {x: root(x) for e in edges if e[0] != e[1] for x in e}
 
 
-def test_substring_factors(spark, corpus):
+@pytest.mark.parametrize("block", [3 << 20, 2000])
+def test_substring_factors(spark, corpus, monkeypatch, block):
+    monkeypatch.setattr(substring, "BLOCK_BYTES", block)
     want = brute.removed(corpus)
     got = substring.factor_documents(docs_frame(spark, corpus)).collect()
     assert {r["doc_id"]: (r["n_words"], r["n_removed"], r["kept_sha256"]) for r in got} == want
     words = {d: brute.WORD.findall(t or "") for d, t in corpus}
     for r in got:
         for f in r["factors"]:
-            part = " ".join(words[r["doc_id"]][f["start"] : f["start"] + 50])
-            assert f["n_words"] >= 50 and f["ref_id"] < r["doc_id"] and part in " ".join(words[f["ref_id"]])
+            a, b, n = words[r["doc_id"]][f["start"] :], words[f["ref_id"]][f["ref_start"] :], f["n_words"]
+            # each factor is a copy that can't be made longer at its place
+            assert n >= 50 and f["ref_id"] < r["doc_id"] and a[:n] == b[:n] and (len(a) == n or len(b) == n or a[n] != b[n])
+
+
+def test_parse_is_greedy(monkeypatch):
+    """Factors against a plain parser that tries every place of every reference, also where all hashes collide."""
+    r = random.Random(4)
+    texts = [" ".join(r.choice("ab") for _ in range(r.randrange(4, 60))) for _ in range(30)]
+    texts += [texts[3] + " " + texts[9] + " b " + texts[9], "", "a"]
+    ids = np.array(r.sample(range(100), len(texts)))
+    is_ref = np.array([i % 2 == 0 for i in range(len(texts))])
+    want = {}
+    for i, t in enumerate(texts):
+        w, s = t.split(), 0
+        while not is_ref[i] and s + 6 <= len(w):
+            best = (0, 0, 0)
+            for j in sorted(np.flatnonzero(is_ref), key=lambda j: ids[j]):
+                v = texts[j].split()
+                for p in range(len(v) if ids[j] < ids[i] else 0):
+                    n = 0
+                    while s + n < len(w) and p + n < len(v) and w[s + n] == v[p + n]:
+                        n += 1
+                    best = max(best, (n, -int(ids[j]), -p))
+            if best[0] >= 6:
+                want.setdefault(i, []).append((s, best[0], -best[1], -best[2]))
+                s += best[0] - 6
+            s += 1
+    raw = "".join(texts).encode()
+    off = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+    for weak in (False, True):
+        if weak:
+            monkeypatch.setattr(common, "word_hashes", lambda data, start, end: np.ones(len(start), np.uint64))
+        assert substring.parse(common.Words(np.frombuffer(raw, np.uint8), off), ids, is_ref, 6) == want
+
+
+def thue_morse(n):
+    return "".join("ab"[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_unlike_words_are_never_equal(spark):
+    """Two words that collide under every polynomial hash modulo 2 ** 64."""
+    one = thue_morse(1024)
+    two = one.translate(str.maketrans("ab", "ba"))
+    rest = prose(random.Random(8), 49)
+    got = {r["doc_id"]: r["n_removed"] for r in substring.factor_documents(docs_frame(spark, [(1, f"{one} {rest}"), (2, f"{two} {rest}")])).collect()}
+    assert got == {1: 0, 2: 0}
+    got = {r["doc_id"]: r["component_id"] for r in minhash.near_duplicates(docs_frame(spark, [(1, one), (2, two)]), shingle_words=3, num=85).collect()}
+    assert got == {1: 1, 2: 2}
 
 
 def test_substring_edges(spark):
