@@ -15,9 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..storage import shared_dir, stored
+from ..storage import stored
 
-__all__ = ["shared_dir"]
 WORD = r"[^\x20\x09-\x0D]+"
 SLICE_BYTES = 1 << 21
 
@@ -238,6 +237,20 @@ def shingles(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
     return h, np.searchsorted(keep, w.first)
 
 
+def exact_shingles(w: Words, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """As ``shingles``, but numbers that are equal exactly where the words are."""
+    token, n = w.exact(), len(w.start)
+    end, begin, at = w.text_end, np.repeat(w.first[:-1], w.n), np.arange(n)
+    keep = np.flatnonzero((end - at >= k) | (at == begin))
+    kinds = int(token.max()) + 2 if n else 1
+    rank = token[keep]
+    for j in range(1, k):
+        i = keep + j
+        after = np.where(i < end[keep], token[np.minimum(i, n - 1)], kinds - 1)
+        rank = np.unique(rank * kinds + after, return_inverse=True)[1]
+    return rank, np.searchsorted(keep, w.first)
+
+
 def list_column(values: np.ndarray, offsets: np.ndarray, kind: pa.DataType) -> pa.Array:
     """An Arrow list column from flat values and int offsets."""
     return pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(values, kind))

@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialize, shared_dir
+from ..storage import shared_dir
+from .common import materialize
 
 CRLF = "\r\n"
 RECORD_END = CRLF + CRLF

@@ -209,7 +209,9 @@ def test_near_duplicates_of_nulls_and_repeats(spark):
 
 
 def test_bayes_bounds():
-    assert minhash.choose_bands(0.85)[0] <= 48
+    for t in (0.8, 0.85):
+        bands, rows = minhash.choose_bands(t)
+        assert bands <= 64 and minhash.miss_chance(t, bands, rows) <= 1e-6
     least = minhash.fewest_matches(0.85, 1e-6)
     assert least == sorted(least) and least[-1] < 0.85 * minhash.HASHES
     # the posterior just under the bound is below the miss probability, by simulation of its upper tail

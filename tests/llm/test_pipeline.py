@@ -73,7 +73,17 @@ def test_whole_pipeline(spark, planted):
 def test_stages_of_empty_and_null_tables(spark, planted):
     at, _, _ = planted
     nothing = spark.createDataFrame([], DOC)
-    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", None, None, 0), (2, "a b c", None, None, 5), (2, "a b c", None, None, 5)], DOC)
-    for _, stage in corpus_pipeline.STAGES:
+    r = random.Random(12)
+    t, u = prose(r, 60), prose(r, 60)
+    rows = [(None, None), (None, t), (None, t), (1, ""), (2, "a b c"), (2, "a b c"), (3, t), (3, t), (3, t + " end"), (4, t), (5, u), (5, t), (6, None), (6, None)]
+    odd = spark.createDataFrame([(d, x, None, None, None) for d, x in rows], DOC)
+    got = {}
+    for name, stage in corpus_pipeline.STAGES:
         assert stage(spark, nothing, at).count() == 0
-        stage(spark, odd, at).count()
+        got[name] = sorted(str((x["doc_id"], x["text"])) for x in stage(spark, odd, at).collect())
+    words = [x for x in rows if x[1]]
+    assert got["decontaminate"] == got["shard"] == sorted(map(str, rows)) and got["mix"] == sorted(map(str, words)) and set(got["quality"]) <= set(map(str, rows))
+    kept = got["near_dedup"]
+    one_of = [x for x in kept if x.startswith("(3,")]
+    assert len(one_of) == 1 and one_of[0] in (str((3, t)), str((3, t + " end")))
+    assert [x for x in kept if x not in one_of] == sorted(map(str, [*rows[:3], (1, ""), (2, "a b c"), (5, u), (6, None)]))
