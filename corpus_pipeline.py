@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 from tessera.llm import stages
-from tessera.llm.common import shared_dir
+from tessera.storage import shared_dir
 
 STAGES = [
     ("quality", stages.quality),
