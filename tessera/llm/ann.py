@@ -9,10 +9,13 @@ precision, and per-query heaps of k are merged over cells. The bounds make the r
 
 from __future__ import annotations
 
+import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 CANDIDATES, QUERIES = 8192, 2048
@@ -33,26 +36,38 @@ def exact_products(q: np.ndarray, c: np.ndarray) -> np.ndarray:
     return out
 
 
+def scaled(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Rows divided by a power of two that brings their largest component under 1, and its exponent: bounds never overflow."""
+    e = np.frexp(np.abs(x).max(1))[1]
+    return np.ldexp(x, -e[:, None]), e
+
+
 def search_cell(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray, k: int, tile: int = 256) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(query, candidate, score) of each query's k best candidates of a cell."""
-    q8, qs = quantise(q)
-    c8, cs = quantise(c)
-    cf = c8.astype(np.float32)  # int8 products are exact in float32 below 2**24 in sum, and are checked below
-    kind = np.float32 if q.shape[1] * 127 * 127 < 1 << 24 else np.float64
-    cf = cf.astype(kind)
-    q1, c1 = np.abs(q).sum(1), np.abs(c8.astype(np.int64)).sum(1) * cs
+    """(query, candidate, score) of each query's k best candidates of a cell; a score that isn't a number counts as the largest."""
+    (qx, qe), (cx, ce) = scaled(q), scaled(c)
+    q8, qs = quantise(qx)
+    c8, cs = quantise(cx)
+    # products of a query are compared in units of its own power of two times the candidates' largest one
+    unit = np.ldexp(1.0, np.maximum(ce - ce.max(), -1074))
+    kind = np.float32 if q.shape[1] * 127 * 127 < 1 << 24 else np.float64  # int8 products are exact in it
+    cf = c8.astype(kind)
+    q1, c1 = np.abs(qx).sum(1), np.abs(c8.astype(np.int64)).sum(1) * cs
+    room_for_sums = 1020 - int(np.ceil(np.log2(q.shape[1])))
     found = []
     for a in range(0, len(q), tile):
         rows = slice(a, a + tile)
-        approx = (q8[rows].astype(kind) @ cf.T).astype(np.float64) * qs[rows, None] * cs[None, :]
+        approx = (q8[rows].astype(kind) @ cf.T).astype(np.float64) * qs[rows, None] * (cs * unit)[None, :]
         # |q.c - q'.c'| <= |q|1 * cs/2 + |c'|1 * qs/2, with room for rounding
-        room = (q1[rows, None] * (cs[None, :] / 2) + c1[None, :] * (qs[rows, None] / 2)) * (1 + 1e-9) + 1e-300
+        room = (q1[rows, None] * (cs * unit / 2)[None, :] + (c1 * unit)[None, :] * (qs[rows, None] / 2)) * (1 + 1e-9) + 1e-300
         own = qid[rows, None] == cid[None, :]
         low = np.where(own, -np.inf, approx - room)
         bar = np.partition(low, -k, axis=1)[:, -k] if len(cid) > k else np.full(len(low), -np.inf)
-        i, j = np.nonzero((approx + room >= bar[:, None]) & ~own)
-        score = exact_products(q[a + i], c[j])
-        order = np.lexsort((cid[j], -score, i))
+        # sums that may leave the range of doubles, or that are rounded below it, have no bound: they are always recomputed
+        size = qe[rows, None] + ce[None, :]
+        i, j = np.nonzero(((approx + room >= bar[:, None]) | (size > room_for_sums) | (size < -900)) & ~own)
+        with np.errstate(over="ignore", invalid="ignore"):
+            score = exact_products(q[a + i], c[j])
+        order = np.lexsort((cid[j], -score, ~np.isnan(score), i))
         i, j, score = i[order], j[order], score[order]
         rank = np.arange(len(i)) - np.searchsorted(i, i)
         top = rank < k
@@ -60,6 +75,22 @@ def search_cell(qid: np.ndarray, q: np.ndarray, cid: np.ndarray, c: np.ndarray,
     return tuple(np.concatenate(x) for x in zip(*found, strict=True))
 
 
+def merge_heaps(batches: Iterator[pa.RecordBatch], k: int) -> Iterator[pa.RecordBatch]:
+    """(query_id, rank, vec_id, score) from (query_id, vec_id, score) of all cells: a heap of the k best of each query."""
+    heaps: dict[int, list[tuple]] = {}
+    for batch in batches:
+        for query, vec, score in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            heap, item = heaps.setdefault(query, []), (score != score, 0.0 if score != score else score, -vec)
+            if len(heap) < k:
+                heapq.heappush(heap, item)
+            else:
+                heapq.heappushpop(heap, item)
+    rows = [(q, r, -vec, float("nan") if bad else score) for q, heap in heaps.items() for r, (bad, score, vec) in enumerate(sorted(heap, reverse=True), 1)]
+    kinds = (pa.int64(), pa.int32(), pa.int64(), pa.float64())
+    cols = list(zip(*rows, strict=True)) or [()] * 4
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, kinds, strict=True)], names=["query_id", "rank", "vec_id", "score"])
+
+
 def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): each query's k nearest other rows by inner product, ties to the smaller id.
 
@@ -89,8 +120,8 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int = 20, id_col: str = "
         return pd.DataFrame({"query_id": a, "vec_id": b, "score": s})
 
     part = q.groupBy(*cell).cogroup(c.groupBy(*cell)).applyInPandas(run, "query_id long, vec_id long, score double")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return part.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    # a task holds k rows for each of its queries
+    return part.repartition("query_id").mapInArrow(lambda batches: merge_heaps(batches, k), "query_id long, rank int, vec_id long, score double")
 
 
 def op5_ann(spark, sf_dir: str) -> DataFrame:

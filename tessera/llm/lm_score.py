@@ -1,9 +1,10 @@
 """Cross-entropy difference: documents scored by a target and a background n-gram model over one vocabulary.
 
-Both are bigram models with Witten-Bell interpolation over the same vocabulary: all words of all documents.
-The target model counts the documents labelled as good, the background model all documents. A document's
-score is its loss per token under the target model minus that under the background model, in bits: the
-lower, the more it is like the target.
+Both are interpolated bigram models over the same vocabulary: all words of all documents. The target model
+counts the documents labelled as good, the background model all others. The models are matched: the larger
+one's counts are scaled to the tokens of the smaller one, so both smooth alike and a document isn't told apart by
+the size of a model. A document is left out of the model that counts it. Its score is its loss per token
+under the target model minus that under the background model, in bits: the lower, the more it is like the target.
 
 Counts cover the whole corpus, and no table of them is held in one place. Texts are cut into blocks of a
 bounded size; each block counts its own bigrams and words and sends them, packed, to buckets by hash. A
@@ -24,11 +25,11 @@ from pyspark.sql import functions as F
 
 from .common import SLICE_BYTES, Words, bounded_tiles, materialize, mix64, text_slices
 
-CLASSES = 8
 BLOCK_BYTES = 1 << 23
 BUCKET_ROWS = 1 << 19
 START = np.uint64(0xD1B54A32D192ED03)
-_CLASS = mix64(np.arange(1, CLASSES + 1, dtype=np.uint64) * np.uint64(0xA0761D6478BD642F))
+#: added to each word's count, and the weight of the word model against a context's counts
+ALPHA, WEIGHT = 0.5, 4.0
 
 
 def _pack(a: np.ndarray) -> bytes:
@@ -52,17 +53,6 @@ def _unpack_sorted(b: bytes) -> np.ndarray:
     return np.cumsum(_unpack(b, np.uint64), dtype=np.uint64)
 
 
-def _words(w: Words, data: np.ndarray, vocab: np.ndarray | None) -> np.ndarray:
-    """Hashes of words; of those outside ``vocab``, of their class by first byte and length."""
-    if vocab is None or not len(w.start):
-        return w.hash
-    i = np.minimum(np.searchsorted(vocab, w.hash), max(len(vocab) - 1, 0))
-    known = vocab[i] == w.hash if len(vocab) else np.zeros(len(w.hash), bool)
-    b, n = data[w.start], w.end - w.start
-    kind = np.where((b >= 65) & (b <= 90), 0, np.where((b >= 97) & (b <= 122), 1, np.where(b >= 128, 2, 3)))
-    return np.where(known, w.hash, _CLASS[kind * 2 + (n > 8)])
-
-
 class _Block:
     """Tokens of a block of texts, and its own counts of words and bigrams."""
 
@@ -84,23 +74,21 @@ class _Block:
         place[order] = np.arange(len(order))
         self.a, self.b, self.h, self.at = a[order], b[order], h[order], place[inverse]
         good = np.bincount(self.at[np.repeat(self.chosen, self.n)], minlength=len(h))
-        #: of each bigram: occurrences, and those in chosen texts
-        self.pairs = np.stack([count[order], good]).astype(np.int64)
+        #: of each bigram: occurrences in chosen texts, and in others
+        self.pairs = np.stack([good, count[order] - good]).astype(np.int64)
+        add = lambda at, v: np.bincount(at, v, size).astype(np.int64)
         self.order = np.argsort(self.vocab, kind="stable")
+        #: of each word: occurrences, and those as a context, each in chosen texts and in others
+        self.words = np.stack([add(at, v) for at in (self.b, self.a) for v in self.pairs])
 
-    def owned(self, answers: list[tuple]) -> np.ndarray:
-        """Bigrams that this block counts as distinct; also puts totals of all blocks into ``pairs``."""
-        own = np.ones(len(self.h), bool)
-        _apply(self.h, self.pairs, answers, own)
-        return own
-
-    def word_counts(self, answers: list[tuple]) -> np.ndarray:
-        """Six rows over the words in the order of their hashes: occurrences, those as a context, and distinct followers; each of all and of chosen texts."""
-        add = lambda at, v: np.bincount(at, v, self.size).astype(np.int64)
-        plain = [add(self.b, v) for v in self.pairs] + [add(self.a, v) for v in self.pairs]
-        own = self.owned(answers)
-        kinds = [add(self.a, own & (v > 0)) for v in self.pairs]
-        return np.stack(plain + kinds)[:, self.order]
+    def own(self) -> list[np.ndarray]:
+        """For each token, how often its text has its bigram, its word, and its context as a context."""
+        text = np.repeat(np.arange(len(self.n)), self.n)
+        out = []
+        for x, size in ((self.at, len(self.h)), (self.b[self.at], self.size), (self.a[self.at], self.size)):
+            _, inverse, count = np.unique(text * max(size, 1) + x, return_inverse=True, return_counts=True)
+            out.append(count[inverse])
+        return out
 
 
 def _cut(h: np.ndarray, bits: int) -> np.ndarray:
@@ -109,96 +97,78 @@ def _cut(h: np.ndarray, bits: int) -> np.ndarray:
     return np.append(np.searchsorted(h, first), len(h))
 
 
-def _apply(h: np.ndarray, values: np.ndarray, answers: list[tuple], own: np.ndarray | None = None) -> None:
+def _apply(h: np.ndarray, values: np.ndarray, answers: list[tuple]) -> None:
     """Totals of all blocks instead of the block's own counts, where they differ."""
-    for first, at, v, mine in answers:
+    for first, at, v in answers:
         at = int(np.searchsorted(h, np.uint64(first))) + _unpack(at, np.uint32).astype(np.int64)
         values[:, at] = _unpack(v, np.int64).reshape(len(values), -1)
-        if own is not None:
-            own[at] = _unpack(mine, bool)
 
 
-MESSAGE = "bucket long, block long, h binary, v binary"
-ANSWER = "block long, kind int, first long, at binary, v binary, own binary, n_distinct long"
+MESSAGE = "kind int, bucket long, block long, h binary, v binary"
+ANSWER = "block long, kind int, first long, at binary, v binary, n_distinct long"
+#: rows of counts of a bigram (kind 0) and of a word (kind 1)
+WIDTH = (2, 4)
 
 
-def _messages(block: int, h: np.ndarray, values: np.ndarray, bits: int) -> pa.RecordBatch:
+def _messages(kind: int, block: int, h: np.ndarray, values: np.ndarray, bits: int) -> pa.RecordBatch:
     cut = _cut(h, bits)
     some = [(i, a, b) for i, (a, b) in enumerate(zip(cut[:-1], cut[1:], strict=True)) if a < b]
-    columns = [[i for i, _, _ in some], [block] * len(some), [_pack_sorted(h[a:b]) for _, a, b in some], [_pack(values[:, a:b]) for _, a, b in some]]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.int64(), pa.binary(), pa.binary()), strict=True)], names=["bucket", "block", "h", "v"])
+    columns = [[kind] * len(some), [i for i, _, _ in some], [block] * len(some), [_pack_sorted(h[a:b]) for _, a, b in some], [_pack(values[:, a:b]) for _, a, b in some]]
+    kinds = (pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=["kind", "bucket", "block", "h", "v"])
 
 
-def _answers(kind: int, width: int, bits: int):
+def _answers(bits: int):
     """Adds up a bucket's counts, and answers each block for the hashes that another one has too."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(*(table.column(c).to_pylist() for c in ("block", "h", "v")), strict=True), key=lambda r: r[0])
-        bucket = table.column("bucket")[0].as_py()
+        kind, bucket = table.column("kind")[0].as_py(), table.column("bucket")[0].as_py()
+        rows = list(zip(*(table.column(c).to_pylist() for c in ("block", "h", "v")), strict=True))
         h = [_unpack_sorted(r[1]) for r in rows]
-        values = np.concatenate([_unpack(r[2], np.int64).reshape(width, -1) for r in rows], axis=1)
-        distinct, index, inverse, times = np.unique(np.concatenate(h), return_index=True, return_inverse=True, return_counts=True)
+        values = np.concatenate([_unpack(r[2], np.int64).reshape(WIDTH[kind], -1) for r in rows], axis=1)
+        distinct, inverse, times = np.unique(np.concatenate(h), return_inverse=True, return_counts=True)
         total = np.stack([np.bincount(inverse, v, len(distinct)).astype(np.int64) for v in values])
-        own = np.zeros(len(inverse), bool)
-        own[index] = True
+        del values
         shared = times[inverse] > 1
         first = np.uint64(bucket << (64 - bits)).view(np.int64) if bits else 0
         # the count of distinct hashes is a row of its own
-        out = [(-1, kind, int(first), None, None, None, len(distinct))]
+        out = [(-1, kind, int(first), None, None, len(distinct))]
         a = 0
         for (block, _, _), x in zip(rows, h, strict=True):
             at = np.flatnonzero(shared[a : a + len(x)])
             if len(at):
-                out.append((block, kind, int(first), _pack(at.astype(np.uint32)), _pack(total[:, inverse[a + at]]), _pack(own[a + at]), 0))
+                out.append((block, kind, int(first), _pack(at.astype(np.uint32)), _pack(total[:, inverse[a + at]]), 0))
             a += len(x)
-        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.int64())
-        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["block", "kind", "first", "at", "v", "own", "n_distinct"])
+        kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64())
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["block", "kind", "first", "at", "v", "n_distinct"])
 
     return run
 
 
 def _received(table: pa.Table, kind: int) -> list[tuple]:
-    rows = zip(*(table.column(c).to_pylist() for c in ("kind", "first", "at", "v", "own")), strict=True)
-    return [(first & 0xFFFFFFFFFFFFFFFF, at, v, own) for k, first, at, v, own in rows if k == kind]
+    rows = zip(*(table.column(c).to_pylist() for c in ("kind", "first", "at", "v")), strict=True)
+    return [(first & 0xFFFFFFFFFFFFFFFF, at, v) for k, first, at, v in rows if k == kind]
 
 
 def _block_of(table: pa.Table | pa.RecordBatch, i: int = 0) -> _Block:
     return _Block(*(table.column(table.schema.get_field_index(c))[i].as_py() for c in ("n", "chosen", "vocab", "tokens")))
 
 
-def _losses(pairs: np.ndarray, a: np.ndarray, b: np.ndarray, word: np.ndarray, total: int, size: int, alpha: float = 0.5) -> np.ndarray:
-    """-log2 of the interpolated probability of each bigram; ``word`` has occurrences, those as a context, and distinct followers."""
-    one = (word[0][b] + alpha) / (total + alpha * size)
-    context, kinds = word[1][a], word[2][a]
-    with np.errstate(divide="ignore", invalid="ignore"):
-        p = np.where(context > 0, (pairs + kinds * one) / (context + kinds), one)
-    return -np.log2(p)
+def _losses(pair: np.ndarray, word: np.ndarray, context: np.ndarray, total: np.ndarray, size: int, scale: float) -> np.ndarray:
+    """-log2 of the interpolated probability of each token, from counts of its bigram, word and context and of all tokens."""
+    one = (scale * word + ALPHA) / (scale * total + ALPHA * size)
+    return -np.log2((scale * pair + WEIGHT * one) / (scale * context + WEIGHT))
 
 
-def score_by_difference(docs: DataFrame, target_ids: DataFrame, vocabulary: int | None = None) -> DataFrame:
+def score_by_difference(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, score) for each row of ``docs`` (doc_id, text).
 
     Losses are bits per token; they and the score are null where a text has no words (null texts too). Rows
-    with null or repeated ids are scored one by one. ``target_ids`` has a doc_id column; repeats and nulls
-    in it don't matter; if none of them is found, the target model knows only the vocabulary. An empty
-    table gives no rows. Other columns are not read.
-
-    vocabulary: where given, only so many of the most frequent words count as themselves, all others as one
-    of a few classes.
+    with null or repeated ids are scored one by one, and each left out of the counts by itself. ``target_ids`` has a
+    doc_id column; repeats and nulls in it don't matter. If none of them is found, or all documents are targets, both
+    models know only the vocabulary, and scores are 0. An empty table gives no rows. Other columns are not read.
     """
     base = docs.select(F.col("doc_id").cast("long").alias("id"), F.col("text").alias("t"))
-    vocab = None
-    if vocabulary is not None:
-
-        def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                for _, _, data, off in text_slices(batch, "t", 1 << 22):
-                    h, n = np.unique(Words(data, off).hash, return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(n, pa.int64())], names=["h", "n"])
-
-        words = base.select("t").mapInArrow(count_words, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-        top = words.orderBy(F.desc("n"), "h").limit(vocabulary).select("h").collect()
-        vocab = np.sort(np.array([r["h"] for r in top], np.int64).view(np.uint64))
 
     def cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         block, held, parts = TaskContext.get().partitionId() << 32, 0, []
@@ -213,7 +183,8 @@ def score_by_difference(docs: DataFrame, target_ids: DataFrame, vocabulary: int
             place[order] = np.arange(len(h), dtype=np.uint32)
             row = (block, [x for i in ids for x in i], _pack(n), _pack(good), _pack(h[order]), _pack(place[inverse]), len(inverse), int(n[good].sum()))
             kinds = (pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4, pa.int64(), pa.int64())
-            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=["block", "ids", "n", "chosen", "vocab", "tokens", "total", "total_target"])
+            names = ["block", "ids", "n", "chosen", "vocab", "tokens", "total", "total_target"]
+            return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=names)
 
         for batch in batches:
             good = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
@@ -222,53 +193,52 @@ def score_by_difference(docs: DataFrame, target_ids: DataFrame, vocabulary: int
                     yield whole()
                     block, held, parts = block + 1, 0, []
                 w = Words(data, off)
-                parts.append((batch.column(0).slice(a, b - a).to_pylist(), w.n.astype(np.int64), good[a:b], _words(w, data, vocab)))
+                parts.append((batch.column(0).slice(a, b - a).to_pylist(), w.n.astype(np.int64), good[a:b], w.hash))
                 held += len(data)
         if parts:
             yield whole()
 
     chosen = target_ids.select(F.col("doc_id").cast("long").alias("id")).distinct().withColumn("chosen", F.lit(True))
     marked = base.join(chosen, "id", "left").select("id", "t", F.coalesce("chosen", F.lit(False)).alias("chosen"))
-    blocks = materialize(marked.mapInArrow(cut_blocks, "block long, ids array<long>, n binary, chosen binary, vocab binary, tokens binary, total long, total_target long"), "lm-blocks")
+    kind = "block long, ids array<long>, n binary, chosen binary, vocab binary, tokens binary, total long, total_target long"
+    blocks = materialize(marked.mapInArrow(cut_blocks, kind), "lm-blocks")
     sums = blocks.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"), F.coalesce(F.sum("total_target"), F.lit(0)).alias("t")).first()
-    totals, bits = (sums["t"], sums["n"]), bounded_tiles(sums["n"], BUCKET_ROWS)
+    totals, bits = (sums["t"], sums["n"] - sums["t"]), bounded_tiles(sums["n"], BUCKET_ROWS)
 
-    def send_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                x = _block_of(batch, i)
-                yield _messages(batch.column(0)[i].as_py(), x.h, x.pairs, bits)
-
-    def send_words(left: pa.Table, right: pa.Table) -> pa.Table:
-        x = _block_of(left)
-        return pa.Table.from_batches([_messages(left.column("block")[0].as_py(), x.vocab[x.order], x.word_counts(_received(right, 0)), bits)])
+                x, block = _block_of(batch, i), batch.column(0)[i].as_py()
+                yield _messages(0, block, x.h, x.pairs, bits)
+                yield _messages(1, block, x.vocab[x.order], x.words[:, x.order], bits)
 
     tokens = blocks.select("block", "n", "chosen", "vocab", "tokens")
-    sent = tokens.mapInArrow(send_pairs, MESSAGE)
-    of_pairs = materialize(sent.groupBy("bucket").applyInArrow(_answers(0, 2, bits), ANSWER).where("block >= 0"), "lm-pairs")
-    sent = tokens.groupBy("block").cogroup(of_pairs.groupBy("block")).applyInArrow(send_words, MESSAGE)
-    of_words = materialize(sent.groupBy("bucket").applyInArrow(_answers(1, 6, bits), ANSWER), "lm-words")
+    answers = materialize(tokens.mapInArrow(send, MESSAGE).groupBy("kind", "bucket").applyInArrow(_answers(bits), ANSWER), "lm-answers")
     # all words and the start symbol
-    size = of_words.agg(F.coalesce(F.sum("n_distinct"), F.lit(0)).alias("n")).first()["n"] if vocab is None else len(vocab) + CLASSES + 1
+    size = answers.where("kind = 1").agg(F.coalesce(F.sum("n_distinct"), F.lit(0)).alias("n")).first()["n"]
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         x = _block_of(left)
-        answers = _received(right, 0)
-        word = x.word_counts(answers)
-        _apply(x.vocab[x.order], word, _received(right, 1))
-        word[:, x.order] = word.copy()
+        words = x.words[:, x.order]
+        _apply(x.h, x.pairs, _received(right, 0))
+        _apply(x.vocab[x.order], words, _received(right, 1))
+        x.words[:, x.order] = words
+        pair, word, context = x.own()
+        a, b, n = x.a[x.at], x.b[x.at], np.repeat(x.n, x.n)
         loss = []
-        for m in (1, 0):
+        for m, member in enumerate((x.chosen, ~x.chosen)):
             v = np.zeros(len(x.n))
             if len(x.begin):
-                each = _losses(x.pairs[m], x.a, x.b, word[m::2], totals[1 - m], size)[x.at]
+                out = np.repeat(member, x.n)
+                counts = (x.pairs[m][x.at] - out * pair, x.words[m][b] - out * word, x.words[2 + m][a] - out * context, totals[m] - out * n)
+                each = _losses(*counts, size, min(totals) / max(totals[m], 1))
                 v[x.full] = np.add.reduceat(each, x.begin) / x.n[x.full]
             loss.append(v)
         ids = left.column("ids")[0].values
-        return pa.Table.from_arrays([ids, pa.array(x.n), *(pa.array(v, mask=~x.full) for v in (*loss, loss[0] - loss[1]))], names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+        columns = [ids, pa.array(x.n), *(pa.array(v, mask=~x.full) for v in (*loss, loss[0] - loss[1]))]
+        return pa.Table.from_arrays(columns, names=["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
-    every = of_pairs.union(of_words.where("block >= 0"))
-    scored = blocks.select("block", "ids", "n", "chosen", "vocab", "tokens").groupBy("block").cogroup(every.groupBy("block"))
+    scored = blocks.select("block", "ids", "n", "chosen", "vocab", "tokens").groupBy("block").cogroup(answers.where("block >= 0").groupBy("block"))
     return scored.applyInArrow(score, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
 
 

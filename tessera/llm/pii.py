@@ -2,10 +2,16 @@
 
 Generators of high recall propose spans, which may overlap. Spans that a checked pattern confirms (an
 address, a number with the right check digits or parts) are the base and always stay. Boosted trees over
-format and context features, fitted to tell base spans from other proposals, score what the base leaves
-out; a proposal is added where its calibrated precision reaches the wanted one. All features are bits, so
-the whole corpus enters the fit as counts of bit patterns, a table of bounded size; the trees become one
-SQL expression.
+format and context features score what else is proposed; a proposal is added where its calibrated precision
+reaches the wanted one.
+
+There are no labels, so the trees learn from what is certain: base spans are positive, and what has the look
+but fails its check (wrong check digits, parts out of range, an address without a domain, a date) is negative.
+Proposals themselves are neither, so how common they are says nothing against them, and both classes weigh
+the same, so how common negatives are doesn't either. Features leave out what only the base can have (the +
+of a number, the @ of an address), and the thresholds are set on documents that the trees weren't fitted on.
+All features are bits, so the whole corpus enters as counts of bit patterns, a table of bounded size; the
+trees become one SQL expression.
 """
 
 from __future__ import annotations
@@ -34,13 +40,25 @@ MORE = {
     "email": r"(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]++\x20?(?:\(at\)|\[at\]|\{at\})\x20?[a-z0-9-]++(?:\x20?(?:\.|\(dot\)|\[dot\]|\{dot\})\x20?[a-z0-9-]++)++",
     "ip": r"(?<![0-9A-Fa-f:])[0-9A-Fa-f]{1,4}(?::[0-9A-Fa-f]{1,4}){7}(?![0-9A-Fa-f:])",
     "card": r"(?<![0-9.])[0-9]{4}(?:[.\x20_/-]{1,2}[0-9]{4}){3}(?![0-9])",
-    "phone": r"(?<![0-9+])(?:\(0?[0-9]{2,4}\)|0{1,2}[0-9]{1,4}|[0-9]{3})[\x20./-][0-9]{3,4}[\x20./-][0-9]{3,4}(?![0-9])",
+    # not a part of a longer run of groups, as a card number is
+    "phone": (
+        r"(?<![0-9+])(?<![0-9][./-])(?<![0-9]{4}\x20)(?:\(0?[0-9]{2,4}\)|0{1,2}[0-9]{1,4}|[0-9]{3})[\x20./-][0-9]{3,4}[\x20./-][0-9]{3,4}"
+        r"(?![0-9]|[./-][0-9]|\x20[0-9]{4}(?![0-9]))"
+    ),
 }
+# What certainly is none: an address without a domain, and dates, times and decimals.
+NONE = {
+    "email": rf"(?:(?<!{_LOCAL})|\G){_LOCAL}++@[A-Za-z0-9-]++(?!\.[A-Za-z0-9-])",
+    "phone": r"(?<![0-9.,:/+-])(?:(?:19|20)[0-9]{2}[-./][0-9]{1,2}[-./][0-9]{1,2}|[0-9]{1,2}[-./][0-9]{1,2}[-./](?:19|20)[0-9]{2}|[0-9]{1,3}[.,:][0-9]{1,2})(?![0-9.,:/-])",
+}
+GENERATORS = {1: BASE, 0: MORE, 2: NONE}
 _CUES = r"(?i)(?:mail|tel|phone|call|fax|mobil|contact|card|visa|ip|host|server|addr|konto|tarjeta|carte|correo)"
 
 
-def _needs(text: Column, kind: str, base: bool) -> Column:
-    has = lambda s: F.instr(text, s) > 0
+def _needs(text: Column, kind: str, gen: int) -> Column:
+    has, base = lambda s: F.instr(text, s) > 0, gen == 1
+    if gen == 2:
+        return has("@") if kind == "email" else text.rlike(r"[0-9][-./,:][0-9]")
     if kind == "email":
         return has("@") if base else text.rlike(r"(?i)[(\[{]at[)\]}]")
     if kind == "phone" and base:
@@ -53,13 +71,14 @@ def _needs(text: Column, kind: str, base: bool) -> Column:
 def _proposals(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """A row per text (rid, id) with its proposals: arrays of (i, match, gap before it, contexts) per generator."""
     t = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
-    t = t.withColumn("rid", F.monotonically_increasing_id()).withColumn("any", F.col("t").rlike(r"[0-9@]|(?i)[(\[{]at[)\]}]"))
+    # documents of every fifth hash are kept from the fit
+    t = t.withColumn("rid", F.monotonically_increasing_id()).withColumn("apart", F.pmod(F.xxhash64(F.lit(7), "t"), F.lit(5)) == 0).withColumn("any", F.col("t").rlike(r"[0-9@]|(?i)[(\[{]at[)\]}]"))
     names = []
-    for base in (True, False):
-        for kind in KINDS:
-            name, pattern = f"{kind}{int(base)}", (BASE if base else MORE)[kind]
+    for gen, patterns in GENERATORS.items():
+        for kind, pattern in patterns.items():
+            name = f"{kind}{gen}"
             names.append(name)
-            here = F.col("any") & _needs(F.col("t"), kind, base)
+            here = F.col("any") & _needs(F.col("t"), kind, gen)
             t = t.withColumn(f"{name}_m", F.when(here, F.regexp_extract_all("t", F.lit(pattern), F.lit(0))))
             # the pieces between matches give the positions
             t = t.withColumn(f"{name}_g", F.when(F.size(f"{name}_m") > 0, F.split("t", pattern, -1)))
@@ -69,7 +88,7 @@ def _proposals(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             f" right({name}_g[i], 16) as before, left({name}_g[i + 1], 4) as after))"
         )
         t = t.withColumn(name, F.when(F.size(f"{name}_m") > 0, one))
-    return t.select("rid", "id", *names)
+    return t.select("rid", "id", "apart", *names)
 
 
 def luhn(digits: Column) -> Column:
@@ -81,14 +100,16 @@ def luhn(digits: Column) -> Column:
 
 
 def _spans(proposals: DataFrame) -> DataFrame:
-    """rid, kind (its number), base, m, start, end, before, after of every proposal that its base check doesn't drop."""
+    """rid, apart, kind (its number), role (1 base, 0 proposed, -1 none), check, m, digits, start, end, before, after, and
+    over: whether a base span overlaps it."""
     parts = []
-    for n, kind in enumerate(KINDS):
-        for base in (1, 0):
-            name = f"{kind}{base}"
-            parts.append(
-                proposals.where(F.col(name).isNotNull()).select("rid", F.lit(n).alias("kind"), F.lit(base).alias("gen"), F.explode(name).alias("c")).select("rid", "kind", "gen", "c.*")
+    for gen, patterns in GENERATORS.items():
+        for kind in patterns:
+            name = f"{kind}{gen}"
+            found = proposals.where(F.col(name).isNotNull()).select(
+                "rid", "apart", F.lit(KINDS.index(kind)).alias("kind"), F.lit(gen).alias("gen"), F.explode(name).alias("c")
             )
+            parts.append(found.select("rid", "apart", "kind", "gen", "c.*"))
     s = parts[0]
     for p in parts[1:]:
         s = s.unionAll(p)
@@ -105,9 +126,16 @@ def _spans(proposals: DataFrame) -> DataFrame:
         .when(F.col("kind") == 2, n.between(13, 19) & luhn(F.when(n.between(13, 19), digits).otherwise("")))
         .otherwise(n.between(9, 15))
     )
-    s = s.withColumn("base", (F.col("gen") == 1) & valid).withColumn("digits", n)
-    # proposals of the base's own patterns that fail their check are no candidates, save cards: those differ in a digit only
-    s = s.where(F.col("base") | (F.col("gen") == 0) | ((F.col("kind") == 2) & n.between(13, 19)))
+    # the same question for every generator: is it whole by its kind's own rules?
+    plain = F.regexp_replace("m", r"(?i)\x20?[(\[{]dot[)\]}]\x20?", ".")
+    check = (
+        F.when(F.col("kind") == 0, plain.rlike(r"\.[A-Za-z]{2,}$"))
+        .when(F.col("kind") == 1, F.when(F.col("gen") == 1, parts_ok).otherwise(F.col("m").rlike("[A-Fa-f]")))
+        .when(F.col("kind") == 2, n.between(13, 19) & luhn(F.when(n.between(13, 19), digits).otherwise("")))
+        .otherwise((F.col("gen") != 2) & n.between(7, 15))
+    )
+    s = s.withColumn("role", F.when(F.col("gen") == 0, F.lit(0)).when((F.col("gen") == 1) & valid, F.lit(1)).otherwise(F.lit(-1)))
+    s = s.withColumn("base", F.col("role") == 1).withColumn("digits", n).withColumn("check", F.coalesce(check, F.lit(False)))
     # what lies ahead is read in descending order: a frame that ends at the last row costs the square of the rows
     order = ["start", "end", "kind", "gen"]
     upto_here = lambda keys: Window.partitionBy("rid").orderBy(*keys).rowsBetween(Window.unboundedPreceding, -1)
@@ -119,18 +147,18 @@ def _spans(proposals: DataFrame) -> DataFrame:
 
 def _features() -> list[Column]:
     alnum = "[A-Za-z0-9]"
-    seps = F.regexp_replace("m", "[A-Za-z0-9]", "")
+    # of numbers, the separators between groups: not brackets and the +, which tell the base from the rest
+    seps = F.regexp_replace("m", r"[A-Za-z0-9()+\[\]{}@]", "")
     return [
         *[F.col("kind") == k for k in range(4)],
+        F.col("check"),
         F.col("before").rlike(_CUES),
         F.col("before").rlike(f"{alnum}$"),
         F.col("after").rlike(f"^{alnum}"),
-        F.length(seps) > 0,
-        F.length(F.translate(seps, " -", "")) > 0,
-        F.col("digits").isin(10, 11, 16),
-        F.col("size") > 18,
-        F.col("m").rlike(r"^(?:[0-9]{4}[ -]){3}[0-9]{4}$|^[0-9]{16}$"),
-        F.col("m").rlike(r"[0-9]{3}[ .-][0-9]{4}$"),
+        F.col("after").rlike(r"^[@:/=]"),
+        F.length(F.translate(seps, " -.", "")) > 0,
+        F.col("m").rlike(r"[0-9]{3,4}[\x20./-][0-9]{3,4}$"),
+        F.col("m").rlike(r"(?:[0-9]{4}.){3}[0-9]{4}$|^[0-9]{13,19}$"),
     ]
 
 
@@ -212,40 +240,75 @@ def calibrated_bar(scored: list[tuple[float, int, int]], precision: float, suppo
     return min(good, default=math.inf)
 
 
-def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", precision: float = 0.97, support: int = 20) -> tuple[DataFrame, DataFrame]:
+def balanced(patterns: list[tuple[int, int, int]]) -> list[tuple[int, float, float]]:
+    """(bits, rows, positive rows) with the negatives of each kind weighing as much as its positives in all."""
+    out = []
+    for k in range(4):
+        own = [p for p in patterns if p[0] >> k & 1]
+        good, bad = sum(p[2] for p in own), sum(p[1] - p[2] for p in own)
+        weight = good / bad if good and bad else 1.0
+        out += [(c, pos + (n - pos) * weight, float(pos)) for c, n, pos in own]
+    return sorted(out)
+
+
+def fit_thresholds(counts: list[tuple[int, bool, int, int]], n_features: int, precision: float) -> tuple[Trees, list[float]]:
+    """Trees, and the bar of each kind, from (bits, kept apart, rows, positive rows).
+
+    The bar is the lowest score that reaches the precision on the rows kept apart; where a kind has no such rows
+    of both classes, on those of all kinds; without any, on the rows of the fit.
+    """
+    # one row that fails its check for each kind, so that it counts against a span also where no text holds one
+    prior = [(1 << k, 1, 0) for k in range(4)]
+    fit, rest = ([(c, n, pos) for c, apart, n, pos in counts if apart == side] for side in (False, True))
+    trees = fit_trees(balanced(fit + prior), n_features)
+
+    def bar(k: int) -> float:
+        for rows, kinds in ((rest, (k,)), (rest, range(4)), (fit + prior, range(4))):
+            own = balanced([p for p in rows if any(p[0] >> j & 1 for j in kinds)])
+            if any(p[2] for p in own) and any(p[1] > p[2] for p in own):
+                return calibrated_bar([(trees.score(c), n, pos) for c, n, pos in own], precision, 0)
+        return math.inf
+
+    return trees, [bar(k) for k in range(4)]
+
+
+def find_personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", precision: float = 0.97) -> tuple[DataFrame, DataFrame]:
     """(rows, spans): rows has rid and id of every input row; spans has rid, kind, start, end (code points, end exclusive), base, score.
 
     A null or empty text has no spans. Rows with null or repeated ids are kept apart by rid. Added spans never
     overlap a base span; those of different kinds may overlap each other. Whole texts are read; other columns
-    are not. An empty table gives no rows.
+    are not. Without base spans in the table nothing can be learned and nothing is added. An empty table gives no rows.
     """
     found = materialize(_proposals(docs, id_col, text_col), "pii-proposals")
     features = _features()
     code = sum((F.when(f, F.lit(1 << i)).otherwise(F.lit(0)) for i, f in enumerate(features[1:], 1)), F.when(features[0], F.lit(1)).otherwise(F.lit(0)))
-    spans = materialize(_spans(found).select("rid", "kind", "start", "end", "base", "over", code.alias("code")), "pii-spans")
-    # at most 2 ** features patterns, whatever the corpus; proposals over a base span say nothing new
-    counts = spans.where(F.col("base") | ~F.col("over")).groupBy("code").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("base").cast("int")).alias("pos")).collect()
-    patterns = sorted((r["code"], r["n"], r["pos"]) for r in counts)
-    trees = fit_trees(patterns, len(features)) if patterns else Trees(0.0, [])
-    bars = [calibrated_bar([(trees.score(c), n, p) for c, n, p in patterns if c >> k & 1], precision, support) for k in range(4)]
+    spans = materialize(_spans(found).select("rid", "apart", "kind", "start", "end", "role", "base", "over", code.alias("code")), "pii-spans")
+    # at most 2 ** features patterns, twice, whatever the corpus
+    sure = spans.where((F.col("role") == 1) | ((F.col("role") == -1) & ~F.col("over")))
+    counts = sure.groupBy("code", "apart").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("base").cast("int")).alias("pos")).collect()
+    trees, bars = fit_thresholds([(r["code"], r["apart"], r["n"], r["pos"]) for r in counts], len(features), precision)
     bar = F.element_at(F.array(*[F.lit(float(b)) for b in bars]), F.col("kind") + 1)
-    scored = spans.withColumn("score", trees.column(F.col("code")))
-    return found.select("rid", "id"), scored.where(F.col("base") | (~F.col("over") & (F.col("score") >= bar))).drop("over", "code")
+    scored = spans.where("role >= 0").withColumn("score", trees.column(F.col("code")))
+    chosen = F.col("base") | (~F.col("over") & (F.col("score") >= bar))
+    return found.select("rid", "id"), scored.where(chosen).drop("over", "code", "role", "apart")
 
 
 def redact(docs: DataFrame, spans: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, text) with every span replaced by its kind in brackets; spans has the id beside kind, start and end.
 
     Of overlapping spans, the one that starts first (then the longer) is named and the others' rest goes with it.
+    A null text stays null, a text without spans as it is; only the id and text of ``docs`` are read.
     """
-    s = spans.groupBy(id_col).agg(F.array_sort(F.collect_list(F.struct("start", (-F.col("end")).alias("e"), "kind"))).alias("s"))
+    s = spans.groupBy(F.col(id_col).alias("id")).agg(F.array_sort(F.collect_list(F.struct("start", (-F.col("end")).alias("e"), "kind"))).alias("s"))
     step = F.expr(
-        f"aggregate(s, struct(0L as at, '' as out), (a, x) -> if(x.start >= a.at,"
-        f" struct(-x.e as at, concat(a.out, substring({text_col}, cast(a.at as int) + 1, cast(x.start - a.at as int)), '[', element_at(array('email','ip','card','phone'), x.kind + 1), ']') as out),"
-        f" struct(greatest(a.at, -x.e) as at, a.out as out)),"
-        f" a -> concat(a.out, substring({text_col}, cast(a.at as int) + 1)))"
+        "aggregate(s, struct(0L as at, '' as out), (a, x) -> if(x.start >= a.at,"
+        " struct(-x.e as at, concat(a.out, substring(t, cast(a.at as int) + 1, cast(x.start - a.at as int)), '[',"
+        " element_at(array('email','ip','card','phone'), x.kind + 1), ']') as out),"
+        " struct(greatest(a.at, -x.e) as at, a.out as out)),"
+        " a -> concat(a.out, substring(t, cast(a.at as int) + 1)))"
     )
-    return docs.join(s, id_col, "left").select(id_col, F.when(F.col("s").isNull(), F.col(text_col)).otherwise(step).alias(text_col))
+    rows = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("t")).join(s, "id", "left")
+    return rows.select(F.col("id").alias(id_col), F.when(F.col("s").isNull(), F.col("t")).otherwise(step).alias(text_col))
 
 
 def op4_pii(spark, sf_dir: str) -> DataFrame:

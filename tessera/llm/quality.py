@@ -113,7 +113,7 @@ def held_out(id_col: str = "doc_id"):
 def fit_quality(docs: DataFrame, labels: DataFrame, max_docs: int = 4000) -> AttentionModel:
     """Fit on at most ``max_docs`` labelled documents (those with the smallest hash of the id), held-out ids excluded.
 
-    Labels that are null, or ids with both labels, are left out. Without both classes every score is the
+    Labels that are null, or ids with both labels, are left out; of rows that repeat an id, the smallest text counts. Without both classes every score is the
     share of label 1 (0.5 without labels).
     """
     known = labels.where(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out("doc_id"))
@@ -130,6 +130,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, max_docs: int = 4000) -> Att
                 )
 
     rows = docs.select(F.col("text").alias("t"), F.col("doc_id").cast("long").alias("id")).join(F.broadcast(sample.withColumnRenamed("doc_id", "id")), "id")
+    # an id that documents repeat counts once, by its smallest text, so the driver gets max_docs rows at most
+    rows = rows.groupBy("id").agg(F.min(F.struct("t", "y")).alias("r")).select("id", "r.t", "r.y")
     got = rows.select("t", "id", F.col("y").cast("int").alias("y")).mapInArrow(encode, "id long, y int, x binary").toArrow().to_pylist()
     got.sort(key=lambda r: (r["id"], r["x"]))
     y = np.array([r["y"] for r in got], np.float32)

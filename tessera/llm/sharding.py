@@ -34,14 +34,16 @@ def stratified_shards(
         raise ValueError("n_shards must be positive")
     keep = docs.columns if keep is None else keep
     # wide rows are written once under a row number; only narrow rows take part in the ranking
-    base = materialize(docs.select(F.struct(*[F.col(c) for c in keep]).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("src"), F.monotonically_increasing_id().alias("rid")), "shard-rows")
+    row = F.struct(*[F.col(c) for c in keep]).alias("row")
+    base = docs.select(row, F.col(id_col).alias("id"), F.col(source_col).alias("src"), F.monotonically_increasing_id().alias("rid"))
+    base = materialize(base, "shard-rows")
     n = base.count()
     bits = bounded_tiles(n, rows_per_tile)
     h = seeded_hash(F.coalesce(F.col("id").cast("string"), F.lit("null")), seed)
     narrow = base.select("rid", "id", "src", h.alias("h")).withColumn("tile", hash_tile(F.col("h"), bits))
     tiles = narrow.groupBy("src", "tile").agg(F.count(F.lit(1)).alias("n"))
-    per_source = Window.partitionBy("src")
-    tiles = running_base(tiles, ["src"], "tile", "n", "before").withColumn("size", F.sum("n").over(per_source))
+    sizes = materialize(base.groupBy("src").agg(F.count(F.lit(1)).alias("size")), "shard-sizes")
+    tiles = running_base(tiles, ["src"], "tile", "n", "before").join(sizes.withColumnRenamed("src", "s1"), F.col("src").eqNullSafe(F.col("s1")))
     # rank within the source: within the tile, plus the rows of the source's smaller tiles
     in_tile = Window.partitionBy("src", "tile").orderBy("h", "id", "rid")
     t = tiles.select(F.col("src").alias("s2"), F.col("tile").alias("t2"), "before", "size")
@@ -54,7 +56,6 @@ def stratified_shards(
         "band", F.expr(f"(odd * {n_bands}L) div (2L * size)")
     )
     # rows of each source in each band follow from its size alone, so no second pass over the rows
-    sizes = base.groupBy("src").agg(F.count(F.lit(1)).alias("size"))
     small = sizes.where(F.col("size") <= n_bands).select(
         F.explode(F.sequence(F.lit(1).cast("long"), F.col("size"))).alias("i"), "size"
     ).select(F.expr(f"((2L * i - 1L) * {n_bands}L) div (2L * size)").alias("band"), F.lit(1).cast("long").alias("c"))

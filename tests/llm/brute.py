@@ -1,6 +1,7 @@
 """Plain Python versions of the operators, for small tables."""
 
 import hashlib
+import math
 import re
 from collections import defaultdict
 
@@ -95,3 +96,33 @@ def group(pairs):
     for k, v in pairs:
         out[k].append(v)
     return out
+
+
+def losses(texts, target):
+    """(id, words, target loss, background loss, difference) of each text by plain counts, each text left out of its own model."""
+    words = [(d, (t or "").split()) for d, t in texts]
+    bigrams = [list(zip([None, *w], w, strict=False)) for _, w in words]
+    vocab = {x for _, w in words for x in w} | {None}
+    models = []
+    for side in (True, False):
+        m = ({}, {}, {}, [0])
+        for (d, _), pairs in zip(words, bigrams, strict=True):
+            for a, b in pairs if (d in target) == side else []:
+                for table, key in zip(m, ((a, b), b, a, 0), strict=True):
+                    table[key] = (table[key] if key in table or table is m[3] else 0) + 1
+        models.append(m)
+    least = min(m[3][0] for m in models)
+    out = []
+    for (d, w), pairs in zip(words, bigrams, strict=True):
+        loss = []
+        for side, m in zip((True, False), models, strict=True):
+            own = (d in target) == side
+            f, bits, total = least / max(m[3][0], 1), 0.0, m[3][0] - own * len(w)
+            for a, b in pairs:
+                count = lambda table, key, seen: m[table].get(key, 0) - own * seen  # noqa: B023, E731
+                one = (f * count(1, b, w.count(b)) + 0.5) / (f * total + 0.5 * len(vocab))
+                ctx = sum(1 for x, _ in pairs if x == a)
+                bits -= math.log2((f * count(0, (a, b), pairs.count((a, b))) + 4 * one) / (f * count(2, a, ctx) + 4))
+            loss.append(bits / len(w) if w else None)
+        out.append((d, len(w), *loss, loss[0] - loss[1] if w else None))
+    return out
