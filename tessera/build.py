@@ -17,7 +17,7 @@ import psutil
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .config import Config
+from .config import output_root, require_valid
 from .functions import audio as audio_fn
 from .functions.text import normalized
 from .functions.values import sample_id
@@ -31,6 +31,8 @@ from .sources.listing import list_files, project_source, scan_shards, shard_list
 from .sources.sink import MANIFEST, ShardSink, file_sha256, utc_now
 
 SPLITS, FAILURES, METRICS, INFO = "manifests/splits.jsonl", "manifests/failures.jsonl", "manifests/run_metrics.jsonl", "dataset_info.json"
+#: dead letters in one append, which bounds what the driver holds
+FAILURE_LINES = 10_000
 _PREPARED = "source_num_samples bigint, source_sample_rate int, exact_seconds double, model_num_samples bigint, samples binary, audio_error string"
 
 
@@ -115,11 +117,11 @@ def resource_snapshot(path: Path) -> dict:
     return {"cpu_percent": psutil.cpu_percent(), "ram_used_bytes": memory.used, "ram_total_bytes": memory.total, "disk_free_bytes": psutil.disk_usage(str(path)).free} | gpu
 
 
-def provenance(config: Config, encoder: Encoder) -> dict:
-    d, m, t = (config.values[k] for k in ("dataset", "mimi", "text"))
+def provenance(config: dict, encoder: Encoder) -> dict:
+    d, m, t = (config[k] for k in ("dataset", "mimi", "text"))
     return {
-        "dataset_id": d.get("id"), "dataset_revision": d.get("revision"), "dataset_configs": sorted({s.config for s in config.splits.values()}),
-        "expected_audio_hours_by_split": {k: s.expected_audio_hours for k, s in config.splits.items()}, "encoder_identity": encoder.identity,
+        "dataset_id": d.get("id"), "dataset_revision": d.get("revision"), "dataset_configs": sorted({s["config"] for s in d["splits"].values()}),
+        "expected_audio_hours_by_split": {k: s.get("expected_audio_hours") for k, s in d["splits"].items()}, "encoder_identity": encoder.identity,
         "sample_rate": encoder.sample_rate, "codebook": m.get("semantic_codebook_index", 0), "codebook_size": m.get("codebook_size", 2048), "frame_rate": m.get("frame_rate"),
         "normalizer_version": t["normalizer"], "channel_policy": "mean",
     }
@@ -130,11 +132,11 @@ def require_same(kept: dict, now: dict) -> None:
         raise RuntimeError("the output was built otherwise: " + ", ".join(differ))
 
 
-def run(spark: SparkSession, config: Config, resume: bool = False, encoder: Callable[[], Encoder] = HashEncoder, should_stop: Callable[[], bool] = lambda: False) -> dict:
+def run(spark: SparkSession, config: dict, resume: bool = False, encoder: Callable[[], Encoder] = HashEncoder, should_stop: Callable[[], bool] = lambda: False) -> dict:
     """Build or continue the cache; returns the processing statistics. Raises Stopped between splits when asked to stop."""
-    config.check_ready()
-    root, model = config.output, encoder()
-    t, m, r = (config.values[k] for k in ("text", "mimi", "runtime"))
+    require_valid(config)
+    root, model = output_root(config), encoder()
+    t, m, r = (config[k] for k in ("text", "mimi", "runtime"))
     normalized(F.lit(""), t["normalizer"])  # an unknown version ends the run here
     if m.get("sample_rate", model.sample_rate) != model.sample_rate:
         raise RuntimeError("the encoder has another sample rate")
@@ -147,18 +149,18 @@ def run(spark: SparkSession, config: Config, resume: bool = False, encoder: Call
     else:
         write_document(root / INFO, provenance(config, model) | {"created_at_utc": utc_now()})
     spark.dataSource.register(ShardSink)
-    source, budget = config.values["dataset"]["root"], float(r.get("max_batch_audio_seconds", 600))
+    source, budget = config["dataset"]["root"], float(r.get("max_batch_audio_seconds", 600))
     done = {x["split"] for x in read_lines(root / SPLITS) if x.get("status") == "complete"}
     files = list_files(spark, source).cache()
     try:
-        for name, s in config.splits.items():
+        for name, s in config["dataset"]["splits"].items():
             if name in done:
                 continue
             if should_stop():
                 raise Stopped(name)
-            paths = [x["path"] for x in shard_listing(files, s.config, s.split).collect()]
+            paths = [x["path"] for x in shard_listing(files, s["config"], s["split"]).collect()]
             if not paths:
-                raise FileNotFoundError(f"no shards of {s.config}/{s.split} under {source}")
+                raise FileNotFoundError(f"no shards of {s['config']}/{s['split']} under {source}")
             _build_split(spark, config, name, s, paths, root, encoder, budget)
     finally:
         files.unpersist()
@@ -169,24 +171,24 @@ def run(spark: SparkSession, config: Config, resume: bool = False, encoder: Call
     return stats
 
 
-def _build_split(spark, config: Config, name: str, s, paths: list[str], root: Path, encoder, budget: float) -> None:
+def _build_split(spark, config: dict, name: str, s, paths: list[str], root: Path, encoder, budget: float) -> None:
     mine = [x for x in completed(root) if x["split"] == name]
     top = max(mine, key=lambda x: x["shard_index"], default=None)
     cursor = (top["last_source_shard"], top["last_source_row_index"]) if top else None
     first = top["shard_index"] + 1 if top else 0
-    rows = project_source(scan_shards(spark, config.values["dataset"]["root"], paths, cursor))
+    rows = project_source(scan_shards(spark, config["dataset"]["root"], paths, cursor))
     staged = root / "staging" / name
-    ident = sample_id(F.lit(s.config), F.lit(s.split), F.col("source_shard"), F.col("source_row_index"))
-    prepared = prepare_rows(rows, config.values["text"]["normalizer"], encoder().sample_rate).withColumn("sample_id", ident)
+    ident = sample_id(F.lit(s["config"]), F.lit(s["split"]), F.col("source_shard"), F.col("source_row_index"))
+    prepared = prepare_rows(rows, config["text"]["normalizer"], encoder().sample_rate).withColumn("sample_id", ident)
     prepared.withColumn("split", F.lit(name)).write.mode("overwrite").parquet(str(staged))
     prepared = spark.read.parquet(str(staged))
     good = prepared.where("error is null")
     narrow = folds.padded_batches(good.select("split", "source_shard", "source_row_index", "exact_seconds"), "split", ["source_shard", "source_row_index"], "exact_seconds", budget)
-    narrow = folds.duration_shards(narrow, "split", ["source_shard", "source_row_index"], "exact_seconds", config.shard_seconds)
+    narrow = folds.duration_shards(narrow, "split", ["source_shard", "source_row_index"], "exact_seconds", float(config["output"]["target_audio_hours_per_shard"]) * 3600)
     placed = good.join(narrow.select("source_shard", "source_row_index", "batch_id", (F.col("shard_index") + first).cast("int").alias("shard_index")), ["source_shard", "source_row_index"])
-    m = config.values["mimi"]
+    m = config["mimi"]
     coded = encode_rows(placed, encoder, m.get("semantic_codebook_index", 0), budget).select(
-        "split", "shard_index", "exact_seconds", "sample_id", "source_id", F.lit(s.config).alias("source_config"), F.lit(s.split).alias("source_split"), "source_shard", "source_row_index",
+        "split", "shard_index", "exact_seconds", "sample_id", "source_id", F.lit(s["config"]).alias("source_config"), F.lit(s["split"]).alias("source_split"), "source_shard", "source_row_index",
         F.col("speaker").alias("speaker_id"), F.col("chapter").alias("chapter_id"), "source_audio_name", "source_sample_rate", "source_num_samples",
         F.col("exact_seconds").cast("float").alias("audio_seconds"), "original_text", "normalized_text", "semantic_codes", F.size("semantic_codes").alias("semantic_length"),
     ).withColumn("violation", violation(m.get("codebook_size", 2048)))
@@ -201,13 +203,24 @@ def _build_split(spark, config: Config, name: str, s, paths: list[str], root: Pa
     bad = prepared.where("error is not null").select("sample_id", "source_id", "source_shard", "source_row_index", "source_audio_name", "error")
     bad = bad.unionByName(coded.where("violation is not null").select("sample_id", "source_id", "source_shard", "source_row_index", "source_audio_name", F.concat(F.lit("ValueError: "), "violation").alias("error")))
     known = {(x["source_shard"], x["source_row_index"]) for x in read_lines(root / FAILURES)}
+    failed, now = [], utc_now()
     for x in bad.orderBy("source_shard", "source_row_index").toLocalIterator():
         if (x["source_shard"], x["source_row_index"]) not in known:
             kind, _, text = x["error"].partition(": ")
-            append_lines(root / FAILURES, [{"timestamp_utc": utc_now(), "sample_id": x["sample_id"], "source_id": x["source_id"], "source_config": s.config, "source_split": s.split, "source_shard": x["source_shard"], "source_row_index": x["source_row_index"], "source_audio_name": x["source_audio_name"], "error_type": kind, "error_message": text}])
+            where = {k: x[k] for k in ("sample_id", "source_id", "source_shard", "source_row_index", "source_audio_name")}
+            of = {"source_config": s["config"], "source_split": s["split"]}
+            failed.append({"timestamp_utc": now, **where, **of, "error_type": kind, "error_message": text})
+        if len(failed) == FAILURE_LINES:
+            append_lines(root / FAILURES, failed)
+            failed = []
+    if failed:
+        append_lines(root / FAILURES, failed)
     last = prepared.agg(F.max(F.struct("source_shard", "source_row_index")).alias("last")).first()["last"]
     mine = [x for x in completed(root) if x["split"] == name]
-    append_lines(root / METRICS, [{"timestamp_utc": utc_now(), "split": name, "shard_index": max((x["shard_index"] for x in mine), default=-1), **{k: sum(x[k] for x in mine) for k in ("examples", "audio_seconds", "semantic_tokens")}, "errors": len([x for x in read_lines(root / FAILURES) if x["source_split"] == s.split]), **resource_snapshot(root)}])
+    sums = {k: sum(x[k] for x in mine) for k in ("examples", "audio_seconds", "semantic_tokens")}
+    errors = sum(x["source_split"] == s["split"] for x in read_lines(root / FAILURES))
+    place = {"timestamp_utc": utc_now(), "split": name, "shard_index": max((x["shard_index"] for x in mine), default=-1)}
+    append_lines(root / METRICS, [{**place, **sums, "errors": errors, **resource_snapshot(root)}])
     at = (last["source_shard"], last["source_row_index"]) if last else (cursor or (None, None))
     append_lines(root / SPLITS, [{"split": name, "status": "complete", "last_source_shard": at[0], "last_source_row_index": at[1], "completed_at_utc": utc_now()}])
 
@@ -239,20 +252,20 @@ def validate(spark: SparkSession, root: Path, checksums: bool = True) -> dict:
     return validation_totals(checked).first().asDict()
 
 
-def preflight(spark: SparkSession, config: Config, encoder: Callable[[], Encoder] = HashEncoder, samples: int = 6) -> dict:
+def preflight(spark: SparkSession, config: dict, encoder: Callable[[], Encoder] = HashEncoder, samples: int = 6) -> dict:
     """Encode a few examples alone and together; they must agree before a run may trust batches."""
-    name, s = next(iter(config.splits.items()))
-    paths = [x["path"] for x in shard_listing(list_files(spark, config.values["dataset"]["root"]), s.config, s.split).collect()]
-    rows = project_source(scan_shards(spark, config.values["dataset"]["root"], paths[:1])).orderBy("source_shard", "source_row_index").limit(samples)
-    got = [r for r in prepare_rows(rows, config.values["text"]["normalizer"], encoder().sample_rate).collect() if r["error"] is None]
+    name, s = next(iter(config["dataset"]["splits"].items()))
+    paths = [x["path"] for x in shard_listing(list_files(spark, config["dataset"]["root"]), s["config"], s["split"]).collect()]
+    rows = project_source(scan_shards(spark, config["dataset"]["root"], paths[:1])).orderBy("source_shard", "source_row_index").limit(samples)
+    got = [r for r in prepare_rows(rows, config["text"]["normalizer"], encoder().sample_rate).collect() if r["error"] is None]
     if len(got) < 2:
         raise RuntimeError("two good examples are needed")
-    model, k = encoder(), config.values["mimi"].get("semantic_codebook_index", 0)
+    model, k = encoder(), config["mimi"].get("semantic_codebook_index", 0)
     audio = [np.frombuffer(r["samples"], np.float32) for r in got]
     if [encode_batch(model, [a], k)[0] for a in audio] != encode_batch(model, audio, k):
         raise RuntimeError("single and batch encodings differ")
     result = {"split": name, "examples": len(audio), "encoder_identity": model.identity, "equivalent": True}
-    write_document(config.output / "benchmark.json", result)
+    write_document(output_root(config) / "benchmark.json", result)
     return result
 
 

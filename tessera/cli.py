@@ -8,7 +8,7 @@ import os
 import sys
 from pathlib import Path
 
-from .config import load_config
+from .config import read_config, require_valid
 
 
 def _session():
@@ -54,8 +54,7 @@ def main(argv: list[str] | None = None) -> int:
     a = _parser().parse_args(argv)
     try:
         if a.command in ("run", "benchmark"):
-            config = load_config(a.config)
-            config.check_ready()
+            config = require_valid(read_config(a.config))
             from . import build
 
             if a.command == "benchmark":

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame
 
 
 def shared_dir(spark) -> str:
-    """``spark.checkpoint.dir``, or a new folder only where it is unset."""
+    """``spark.checkpoint.dir``, or a new folder of this machine where it is unset and Spark runs on this machine alone."""
     sc = spark.sparkContext
     given = sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
     if not given:
+        if sc.master.split("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         given = tempfile.mkdtemp(prefix="tessera-")
         sc.setCheckpointDir(given)
     return given.rstrip("/")

@@ -24,6 +24,7 @@ def frame(spark, by_split):
 
 
 def test_golden_batches(spark):
+    # fixed values: parity of the greedy rules
     got = folds.padded_batches(frame(spark, {"train": [1, 1, 1]}), "split", ["pos"], "s", 2.0).orderBy("pos").collect()
     assert [r["batch_id"] for r in got] == [0, 0, 1]
     assert folds.fill_budget([1.0, 10.0, 1.0], 25.0) == [0, 1]
