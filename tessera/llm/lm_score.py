@@ -56,8 +56,10 @@ def _unpack_sorted(b: bytes) -> np.ndarray:
 class _Block:
     """Tokens of a block of texts, and its own counts of words and bigrams."""
 
-    def __init__(self, n: bytes, chosen: bytes, vocab: bytes, tokens: bytes):
-        self.n, self.chosen = _unpack(n, np.int64), _unpack(chosen, bool)
+    def __init__(self, n: bytes, chosen: list[int] | None, vocab: bytes, tokens: bytes):
+        self.n = _unpack(n, np.int64)
+        self.chosen = np.zeros(len(self.n), bool)
+        self.chosen[chosen or []] = True
         #: the block's words and, at the end, the start symbol, which is the context of a text's first word
         self.vocab, token = np.append(_unpack(vocab, np.uint64), START), _unpack(tokens, np.uint32).astype(np.int64)
         size = self.size = len(self.vocab)
@@ -100,7 +102,7 @@ def _cut(h: np.ndarray, bits: int) -> np.ndarray:
 def _apply(h: np.ndarray, values: np.ndarray, answers: list[tuple]) -> None:
     """Totals of all blocks instead of the block's own counts, where they differ."""
     for first, at, v in answers:
-        at = int(np.searchsorted(h, np.uint64(first))) + _unpack(at, np.uint32).astype(np.int64)
+        at = int(np.searchsorted(h, np.uint64(first))) + np.cumsum(_unpack(at, np.uint32), dtype=np.int64)
         values[:, at] = _unpack(v, np.int64).reshape(len(values), -1)
 
 
@@ -137,7 +139,7 @@ def _answers(bits: int):
         for (block, _, _), x in zip(rows, h, strict=True):
             at = np.flatnonzero(shared[a : a + len(x)])
             if len(at):
-                out.append((block, kind, int(first), _pack(at.astype(np.uint32)), _pack(total[:, inverse[a + at]]), 0))
+                out.append((block, kind, int(first), _pack(np.diff(at, prepend=0).astype(np.uint32)), _pack(total[:, inverse[a + at]]), 0))
             a += len(x)
         kinds = (pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.int64())
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=["block", "kind", "first", "at", "v", "n_distinct"])
@@ -174,36 +176,40 @@ def score_by_difference(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
         block, held, parts = TaskContext.get().partitionId() << 32, 0, []
 
         def whole() -> pa.RecordBatch:
-            ids, n, good, hashes = zip(*parts, strict=True)
-            n, good = np.concatenate(n), np.concatenate(good)
+            ids, n, hashes = zip(*parts, strict=True)
+            n = np.concatenate(n)
             h, inverse, count = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
             # frequent words get small numbers, which take less room
             order = np.argsort(-count, kind="stable")
             place = np.empty(len(h), np.uint32)
             place[order] = np.arange(len(h), dtype=np.uint32)
-            row = (block, [x for i in ids for x in i], _pack(n), _pack(good), _pack(h[order]), _pack(place[inverse]), len(inverse), int(n[good].sum()))
-            kinds = (pa.int64(), pa.list_(pa.int64()), *[pa.binary()] * 4, pa.int64(), pa.int64())
-            names = ["block", "ids", "n", "chosen", "vocab", "tokens", "total", "total_target"]
+            row = (block, [x for i in ids for x in i], n.tolist(), _pack(n), _pack(h[order]), _pack(place[inverse]), len(inverse))
+            kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), *[pa.binary()] * 3, pa.int64())
+            names = ["block", "ids", "sizes", "n", "vocab", "tokens", "total"]
             return pa.RecordBatch.from_arrays([pa.array([x], k) for x, k in zip(row, kinds, strict=True)], names=names)
 
         for batch in batches:
-            good = batch.column(2).to_numpy(zero_copy_only=False).astype(bool)
             for a, b, data, off in text_slices(batch, "t", min(SLICE_BYTES, BLOCK_BYTES)):
                 if parts and held + len(data) > BLOCK_BYTES:
                     yield whole()
                     block, held, parts = block + 1, 0, []
                 w = Words(data, off)
-                parts.append((batch.column(0).slice(a, b - a).to_pylist(), w.n.astype(np.int64), good[a:b], w.hash))
+                parts.append((batch.column(0).slice(a, b - a).to_pylist(), w.n.astype(np.int64), w.hash))
                 held += len(data)
         if parts:
             yield whole()
 
-    chosen = target_ids.select(F.col("doc_id").cast("long").alias("id")).distinct().withColumn("chosen", F.lit(True))
-    marked = base.join(chosen, "id", "left").select("id", "t", F.coalesce("chosen", F.lit(False)).alias("chosen"))
-    kind = "block long, ids array<long>, n binary, chosen binary, vocab binary, tokens binary, total long, total_target long"
-    blocks = materialize(marked.mapInArrow(cut_blocks, kind), "lm-blocks")
-    sums = blocks.agg(F.coalesce(F.sum("total"), F.lit(0)).alias("n"), F.coalesce(F.sum("total_target"), F.lit(0)).alias("t")).first()
-    totals, bits = (sums["t"], sums["n"] - sums["t"]), bounded_tiles(sums["n"], BUCKET_ROWS)
+    kind = "block long, ids array<long>, sizes array<long>, n binary, vocab binary, tokens binary, total long"
+    blocks = materialize(base.mapInArrow(cut_blocks, kind), "lm-blocks")
+    # ids alone meet the targets, not texts; a block's places are bounded by its texts
+    chosen = target_ids.select(F.col("doc_id").cast("long").alias("id")).distinct()
+    rows = blocks.select("block", F.posexplode(F.arrays_zip("ids", "sizes")).alias("at", "x")).select("block", "at", F.col("x.ids").alias("id"), F.col("x.sizes").alias("size"))
+    places = rows.join(chosen, "id").groupBy("block").agg(F.collect_list("at").alias("chosen"), F.sum("size").alias("size"))
+    places = materialize(places, "lm-targets")
+    total = lambda df, c: df.agg(F.coalesce(F.sum(c), F.lit(0))).first()[0]
+    n, target = total(blocks, "total"), total(places, "size")
+    totals, bits = (target, n - target), bounded_tiles(n, BUCKET_ROWS)
+    blocks = blocks.join(places.select("block", "chosen"), "block", "left")
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
