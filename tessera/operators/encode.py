@@ -15,6 +15,8 @@ from ..functions.values import CODEBOOK, SAMPLE_RATE, frame_size
 
 
 class Encoder(Protocol):
+    """May also have ``memory_fraction()``, the peak share of device memory since the last call."""
+
     sample_rate: int
     identity: str
 

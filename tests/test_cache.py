@@ -52,13 +52,19 @@ def config(source, out, **runtime) -> dict:
     }
 
 
+def built(spark, values, **options):
+    """A run as a user makes it: the preflight, then the build."""
+    build.preflight(spark, values)
+    return build.run(spark, values, **options)
+
+
 def cached_rows(out):
     return [r for x in build.completed(out) for r in pq.read_table(out / x["path"]).to_pylist()]
 
 
 def test_build_resume_validate_publish(spark, source, tmp_path, monkeypatch):
     out = tmp_path / "out"
-    stats = build.run(spark, config(source, out))
+    stats = built(spark, config(source, out))
     assert stats["examples"] == 18 and stats["failures"] == 2 and stats["shards"] >= 3
     rows = cached_rows(out)
     assert len({r["sample_id"] for r in rows}) == 18 and all(r["normalized_text"].endswith("'s") for r in rows)
@@ -98,8 +104,8 @@ def test_build_resume_validate_publish(spark, source, tmp_path, monkeypatch):
 
 def test_resume_after_a_crash_gives_the_same_rows(spark, source, tmp_path):
     whole, cut = tmp_path / "whole", tmp_path / "cut"
-    build.run(spark, config(source, whole))
-    build.run(spark, config(source, cut))
+    built(spark, config(source, whole))
+    built(spark, config(source, cut))
     # the crash: the second train shard was renamed, but never reached the manifest, whose last line is cut short
     lines = (cut / MANIFEST).read_text().splitlines(keepends=True)
     (cut / MANIFEST).write_text(lines[0] + lines[1][:20])
@@ -112,21 +118,132 @@ def test_resume_after_a_crash_gives_the_same_rows(spark, source, tmp_path):
 
 def test_other_settings_are_refused(spark, source, tmp_path):
     out = tmp_path / "out"
-    build.run(spark, config(source, out))
+    built(spark, config(source, out))
     other = config(source, out)
     other["dataset"]["revision"] = "2"
     with pytest.raises(RuntimeError, match="dataset_revision"):
         build.run(spark, other, resume=True)
     with pytest.raises(build.Stopped):
-        build.run(spark, config(source, tmp_path / "stop"), should_stop=lambda: True)
+        built(spark, config(source, tmp_path / "stop"), should_stop=lambda: True)
     with pytest.raises(ValueError, match="normalizer"):
         bad = config(source, tmp_path / "bad")
         bad["text"]["normalizer"] = "other"
         build.run(spark, bad)
 
 
+def shards(out):
+    return [(x["split"], x["shard_index"], x["examples"], x["last_source_shard"], x["last_source_row_index"], x["sha256"]) for x in build.completed(out)]
+
+
+def test_slices_do_not_show(spark, source, tmp_path):
+    whole, sliced = tmp_path / "whole", tmp_path / "sliced"
+    built(spark, config(source, whole))
+    built(spark, config(source, sliced, files_per_commit=1))
+    assert shards(whole) == shards(sliced) and not any((sliced / "staging").iterdir())
+    strip = lambda out: [{k: v for k, v in x.items() if k != "timestamp_utc"} for x in read_lines(out / build.FAILURES)]
+    assert strip(whole) == strip(sliced) and len(strip(whole)) == 2
+    last = read_lines(sliced / build.METRICS)[-1]
+    assert last["split"] == "validation" and last["audio_seconds"] > 0 and last["progress_fraction"] > 0 and last["eta_seconds"] > 0
+
+
+def test_stop_within_a_split_keeps_what_is_committed(spark, source, tmp_path):
+    whole, cut = tmp_path / "whole", tmp_path / "cut"
+    built(spark, config(source, whole))
+    values = config(source, cut, files_per_commit=1)
+    with pytest.raises(build.Stopped):
+        built(spark, values, should_stop=lambda: (cut / MANIFEST).exists())
+    kept = shards(cut)
+    assert kept and kept == shards(whole)[: len(kept)] and len(kept) < len(shards(whole)) and not read_lines(cut / build.SPLITS)
+    assert build.run(spark, values, resume=True)["failures"] == 2
+    assert shards(cut) == shards(whole)
+
+
+def test_crash_within_a_split(spark, source, tmp_path, monkeypatch):
+    whole, cut = tmp_path / "whole", tmp_path / "cut"
+    built(spark, config(source, whole))
+    values, commit, calls = config(source, cut, files_per_commit=1), build._commit_slice, []
+
+    def dies(*a, **k):
+        calls.append(1)
+        if len(calls) == 2:
+            raise OSError("lost")
+        commit(*a, **k)
+
+    monkeypatch.setattr(build, "_commit_slice", dies)
+    with pytest.raises(OSError, match="lost"):
+        built(spark, values)
+    kept = shards(cut)
+    assert 0 < len(kept) < len(shards(whole))
+    monkeypatch.setattr(build, "_commit_slice", commit)
+    assert build.run(spark, values, resume=True)["failures"] == 2
+    assert shards(cut) == shards(whole)
+
+
+def test_files_without_good_rows(spark, tmp_path):
+    kind = pa.struct([("bytes", pa.binary()), ("path", pa.string())])
+    (tmp_path / "src/medium").mkdir(parents=True)
+    for f, good in enumerate((False, None, False, True, False)):
+        audio = [{"bytes": wav(1.5) if good else b"junk", "path": f"{f}/{i}"} for i in range(0 if good is None else 6)]
+        table = pa.table({"wav": pa.array(audio, kind), "text": pa.array([f"Text {i}" for i in range(len(audio))], pa.string())})
+        pq.write_table(table, tmp_path / "src/medium" / f"train-{f:05d}.parquet")
+    values = config(tmp_path / "src", tmp_path / "out", files_per_commit=1)
+    del values["dataset"]["splits"]["validation"]
+    with pytest.raises(RuntimeError, match="two good examples"):
+        build.preflight(spark, values)
+    found = build._preflight_of(values, encode.HashEncoder()) | {"recommended_batch_audio_seconds": 4}
+    build.write_document(tmp_path / "out" / build.PREFLIGHT, found)
+    stats = build.run(spark, values)
+    assert stats["examples"] == 6 and stats["failures"] == 18
+    (end,) = read_lines(tmp_path / "out" / build.SPLITS)
+    assert (end["last_source_shard"], end["last_source_row_index"]) == ("medium/train-00004.parquet", 5)
+
+
 def test_preflight(spark, source, tmp_path):
-    assert build.preflight(spark, config(source, tmp_path / "p"))["examples"] >= 2
+    values = config(source, tmp_path / "p", min_batch_audio_seconds=1, max_batch_audio_seconds=40)
+    with pytest.raises(RuntimeError, match="benchmark"):
+        build.run(spark, values)
+    found = build.preflight(spark, values)
+    assert found["examples"] >= 2 and found["recommended_batch_audio_seconds"] == 32
+    assert [x["budget_audio_seconds"] for x in found["trials"]] == [1, 2, 4, 8, 16, 32]
+    for x in found["trials"]:
+        assert x["examples"] >= 1 and x["throughput_x_realtime"] == pytest.approx(x["actual_audio_seconds"] / x["elapsed_seconds"])
+    assert build.required_budget(values, encode.HashEncoder()) == 32
+    with pytest.raises(RuntimeError, match="encoder_identity"):
+        build.run(spark, values, encoder=lambda: encode.HashEncoder(3))
+    values["dataset"]["revision"] = "2"
+    with pytest.raises(RuntimeError, match="dataset_revision"):
+        build.run(spark, values)
+    with pytest.raises(RuntimeError, match="differ: "):
+        build.preflight(spark, values, encoder=Uneven)
+
+
+class Uneven(encode.HashEncoder):
+    """Its codes depend on what else is in the batch."""
+
+    def encode(self, audio):
+        return super().encode(audio) + len(audio)
+
+
+def test_preflight_within_memory(spark, source, tmp_path):
+    class Full(encode.HashEncoder):
+        def encode(self, audio):
+            self.held = len(audio) * max(len(a) for a in audio) / (20 * self.sample_rate)  # of padded audio
+            return super().encode(audio)
+
+        def memory_fraction(self):
+            return self.held
+
+    found = build.preflight(spark, config(source, tmp_path / "p", min_batch_audio_seconds=4, max_batch_audio_seconds=100), encoder=Full)
+    assert found["recommended_batch_audio_seconds"] == 16 and found["trials"][-1]["gpu_memory_fraction"] > 0.8
+
+
+def test_gpu_figures(tmp_path, monkeypatch):
+    monkeypatch.setenv("PATH", str(tmp_path))
+    assert set(build.gpu_snapshot().values()) == {None}
+    tool = tmp_path / "nvidia-smi"
+    tool.write_text("#!/bin/sh\necho '37, 1024, 8192, 55, [N/A]'\n")
+    tool.chmod(0o755)
+    assert list(build.gpu_snapshot().values()) == [37.0, 1 << 30, 8 << 30, 55.0, None]
 
 
 def test_scan_positions_and_cursor(spark, source):
