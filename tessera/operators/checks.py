@@ -52,3 +52,12 @@ def distribution(rows: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("examples"),
         *[f(c).cast("double").alias(f"{n}_{c}") for c in ("audio_seconds", "semantic_length") for n, f in (("min", F.min), ("max", F.max), ("avg", F.avg))],
     )
+
+
+def failures_by_type(failures: DataFrame) -> DataFrame:
+    """Failed source rows per split and type of error, a row that is listed again counted once, and their share of the split's."""
+    rows = failures.select("source_split", "source_shard", "source_row_index", "error_type").distinct()
+    n = rows.groupBy("source_split", "error_type").agg(F.count(F.lit(1)).alias("failures"))
+    every = n.groupBy(F.col("source_split").alias("of_split")).agg(F.sum("failures").alias("all_failures"))
+    joined = n.join(every, F.col("source_split").eqNullSafe(F.col("of_split")))
+    return joined.select("source_split", "error_type", "failures", (F.col("failures") / F.col("all_failures")).alias("share"))

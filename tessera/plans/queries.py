@@ -368,6 +368,16 @@ def spec_stats(spark, sf_dir):
     return checks.distribution(proxy(spark, sf_dir))
 
 
+@_query(_P + """, x as (select source_split, case when doc_id % 50 = 0 then 'TypeError' else 'ValueError' end as error_type, count(*)::bigint as failures
+  from p where doc_id % 50 = 0 or doc_id % 97 = 0 group by all)
+select source_split, error_type, failures, failures::double / sum(failures) over (partition by source_split)::double as share from x""")
+def failure_types(spark, sf_dir):
+    """Failures by type; every hundredth document is listed twice, as after a crash."""
+    k = F.col("doc_id")
+    rows = proxy(spark, sf_dir).where((k % 50 == 0) | (k % 97 == 0)).withColumn("error_type", F.when(k % 50 == 0, "TypeError").otherwise("ValueError"))
+    return checks.failures_by_type(rows.unionAll(rows.where(k % 100 == 0)))
+
+
 @_query(_P + """, x as (select *, case when doc_id % 41 = 0 then 'same' else sample_id end as sid, case when doc_id % 43 = 0 then audio_seconds + 1 else audio_seconds end as secs from p)
 select count(*)::bigint as rows, sum((abs(source_num_samples / 16000.0::double - secs) > 0.1)::int)::bigint as duration_off,
   sum((doc_id % 47 = 0)::int)::bigint as codes_out_of_range, sum((abs(semantic_length - secs * 12.5::double) > 1)::int)::bigint as frames_off,
