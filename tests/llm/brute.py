@@ -126,3 +126,104 @@ def losses(texts, target):
             loss.append(bits / len(w) if w else None)
         out.append((d, len(w), *loss, loss[0] - loss[1] if w else None))
     return out
+
+
+STOP, NUMERIC = set("!.?:\n"), set("0123456789,./:-")
+
+
+def fold(word):
+    return "".join(chr(ord(c) + 32) if "A" <= c <= "Z" or "\xc0" <= c <= "\xde" and c != "\xd7" else c for c in word)
+
+
+def template_words(text, units, openers):
+    """[(word, placeholder or None, placeholder if it opens a sentence as a name)] of a text."""
+    core = re.compile(r"[0-9A-Za-z%\x80-\U0010ffff]")
+    spans = []
+    for m in WORD.finditer(text):
+        at = [i for i in range(m.start(), m.end()) if core.match(text[i])]
+        if not at:
+            continue
+        a, b = at[0], at[-1] + 1
+        cut = a
+        while cut < b and text[cut] in NUMERIC:
+            cut += 1
+        if text[a].isascii() and text[a].isdigit() and cut < b and fold(text[cut:b]) in units:
+            number = [i for i in range(a, cut) if core.match(text[i])]
+            spans += [(a, number[-1] + 1), (cut, b)]
+        else:
+            spans.append((a, b))
+    out, last, was_number = [], None, False
+    for a, b in spans:
+        w = text[a:b]
+        number = any(c in "0123456789" for c in w) and set(w) <= NUMERIC
+        unit = was_number and not number and fold(w) in units
+        capital = "A" <= w[0] <= "Z" or "\xc0" <= w[0] <= "\xde"
+        named = capital and sum("A" <= c <= "Z" for c in w) <= 1 and not number and len(w.encode()) > 1
+        opens = last is None or bool(STOP & set(text[last:a]))
+        kind = "unit" if unit else "number" if number else "name" if named and not opens else None
+        out.append((fold(w), kind, "name" if named and opens and not unit and fold(w) not in openers else kind))
+        last, was_number = b, number
+    return out
+
+
+def template_forms(words, size, exact, literals):
+    """{(first form, form): slot values seen} of all windows of this many words."""
+    out = defaultdict(set)
+    for i in range(len(words) - size + 1):
+        part = words[i : i + size]
+        if exact:
+            form = ("exact", *[w for w, _, _ in part])
+            out[form, form].add(())
+            continue
+        first = tuple(kind and ("slot", kind) or w for w, kind, _ in part)
+        for which in {1, 2} if any(x[1] != x[2] for x in part) else {1}:
+            slots = tuple(x[0] for x in part if x[which])
+            if size - len(slots) >= min(literals, max(1, size // 2)):
+                out[first, tuple(x[which] and ("slot", x[which]) or x[0] for x in part)].add(slots)
+    return out
+
+
+def leaked(docs, items, units, openers, order, k=6, literals=3, share=0.4):
+    """{(doc_id, item_id): (windows, matched, consistent, verbatim)}; ``order`` ranks words where votes tie."""
+    rank = lambda slots: [order(w) for w in slots]
+    forms, shapes = {}, {(k, False)}
+    for i, text in items:
+        words = template_words(text or "", units, openers)
+        size = min(k, len(words))
+        if not words:
+            continue
+        found, exact = template_forms(words, size, False, literals), False
+        if not found:
+            found, exact = template_forms(words, size, True, literals), True
+        shapes.add((size, exact))
+        forms[i] = {key: min(v, key=rank) for key, v in found.items()}
+    out = {}
+    for d, text in docs:
+        words, here = template_words(text or "", units, openers), defaultdict(set)
+        for size, exact in shapes:
+            for (_, form), slots in template_forms(words, size, exact, literals).items():
+                here[form] |= slots
+        for i, of in forms.items():
+            met = [(win, a, b) for (win, form), a in of.items() for b in here.get(form, ())]
+            wins, matched = {win for win, _ in of}, {win for win, _, _ in met}
+            if not met or len(matched) < share * len(wins):
+                continue
+            best = [min(((a, b) for w, a, b in met if w == win), key=lambda x: (x[0] != x[1], rank(x[1]))) for win in matched]
+            good = max(one_substitution(best, order), min(len(best), one_substitution([x[1:] for x in met], order)))
+            if good >= share * len(wins):
+                out[d, i] = (len(wins), len(matched), good, all(a == b for a, b in best))
+    return out
+
+
+def one_substitution(pairs, order):
+    """How many pairs of slot values follow the one-to-one substitution that takes the pair of words with most votes first."""
+    votes = defaultdict(int)
+    for a, b in pairs:
+        for xy in set(zip(a, b, strict=True)):
+            votes[xy] += 1
+    chosen = set()
+    while votes:
+        x, y = min(votes, key=lambda v: (-votes[v], v[0] != v[1], order(v[0]), order(v[1])))
+        chosen.add((x, y))
+        votes = {v: n for v, n in votes.items() if v[0] != x and v[1] != y}
+    return sum(set(zip(a, b, strict=True)) <= chosen for a, b in pairs)

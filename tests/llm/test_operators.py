@@ -505,12 +505,41 @@ def test_slots_must_be_consistent():
     assert decontaminate.consistent([([1], [5]), ([2], [5])]) == 1
 
 
+def plain_leaks(docs, items):
+    order = lambda w: int(decontaminate._hashes(w)[0].astype(np.int64))
+    return brute.leaked(docs, items, set(decontaminate.UNITS.split()), set(decontaminate.FUNCTION_WORDS.split()), order)
+
+
+def found_leaks(docs, bench):
+    rows = decontaminate.find_leaks(docs, bench).collect()
+    assert len({(r["doc_id"], r["item_id"]) for r in rows}) == len(rows)
+    return {(r["doc_id"], r["item_id"]): (r["n_windows"], r["n_matched"], r["n_consistent"], r["verbatim"]) for r in rows}
+
+
 def test_leaks_against_brute_force(spark, small):
     docs, bench = (spark.read.parquet(f"{small}/{t}.parquet") for t in ("documents", "benchmark"))
-    flat = lambda t: " ".join(t.lower().split())
-    items = [(r["item_id"], flat(r["text"])) for r in bench.collect()]
-    want = {(r["doc_id"], i) for r in docs.collect() for i, t in items if t in flat(r["text"])}
-    assert want <= {(r["doc_id"], r["item_id"]) for r in decontaminate.find_leaks(docs, bench).collect()}
+    want = plain_leaks(*([tuple(r) for r in t.select(i, "text").collect()] for t, i in ((docs, "doc_id"), (bench, "item_id"))))
+    assert want and found_leaks(docs, bench) == want
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_leaks_of_templates_against_brute_force(spark, seed):
+    r = random.Random(seed)
+    names, plain = ["Alice", "Bob", "Carl", "Zoë", "Éva", "NASA", "Q"], ["gives", "has", "apples", "The", "the", "red", "café", "ÀLT", "to", "is", "more", "than"]
+    other = ["5", "12", "3.5", "1,000", "7kg", "20%", "9KM", "4x", "km", "min", "%", "--", "(8)", "5.kg", "-3", "a:b", "x" * 80]
+
+    def text(n):
+        return "".join(r.choice(names if r.random() < 0.2 else other if r.random() < 0.3 else plain) + r.choice([" "] * 8 + [". ", "? ", "\n", ", ", "! "]) for _ in range(n))
+
+    def changed(t):
+        swap = dict(zip(names[:5], r.sample(names[:5], 5), strict=True)) | {"5": "6", "12": "71"}
+        return " ".join(swap.get(w, w) if r.random() < 0.95 else r.choice(plain) for w in t.split(" "))
+
+    items = [(i, text(r.choice([0, 1, 2, 4, 5, 6, 8, 20, 30]))) for i in range(40)] + [(90, None), (91, "12 5 3.5 7 8 9 1"), (92, "Bob 5 km")]
+    docs = [(d, " ".join(f(r.choice(items)[1] or "") for f in r.choices([changed, str, lambda t: text(9)], k=r.choice([0, 1, 3, 6])))) for d in range(160)]
+    want = plain_leaks(docs, items)
+    assert len(want) > 100 and any(not v[3] for v in want.values()) and any(v[2] < v[1] for v in want.values())
+    assert found_leaks(docs_frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")) == want
 
 
 def test_cross_entropy_difference(spark):
