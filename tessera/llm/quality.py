@@ -83,21 +83,28 @@ class AttentionModel:
         bag = np.add.reduceat(h * a[:, None], begin)
         return {"z": z, "h": h, "t": t, "g": g, "a": a, "bag": bag, "y": 1 / (1 + np.exp(-(bag @ p["c"] + p["d"][0])))}
 
+    def gradient(self, x: np.ndarray, span: np.ndarray, y: np.ndarray) -> dict:
+        """Of the mean log loss, by parameter."""
+        p, n, begin = self.p, np.diff(span), span[:-1]
+        f = self.forward(x, span)
+        dy = (f["y"] - y) / len(y)
+        dbag = np.repeat(dy[:, None] * p["c"], n, axis=0)
+        da = (dbag * f["h"]).sum(1)
+        de = f["a"] * (da - np.repeat(np.add.reduceat(f["a"] * da, begin), n))
+        dt, dg = de[:, None] * p["w"] * f["g"] * (1 - f["t"] ** 2), de[:, None] * p["w"] * f["t"] * f["g"] * (1 - f["g"])
+        dh = (dbag * f["a"][:, None] + dt @ p["V"].T + dg @ p["U"].T) * (1 - f["h"] ** 2)
+        return {
+            "W": f["z"].T @ dh, "b": dh.sum(0), "V": f["h"].T @ dt, "U": f["h"].T @ dg,
+            "w": (f["t"] * f["g"]).T @ de, "c": f["bag"].T @ dy, "d": dy.sum(keepdims=True),
+        }
+
     def fit(self, x: np.ndarray, span: np.ndarray, y: np.ndarray, steps: int = 200, rate: float = 0.02, decay: float = 1e-4) -> AttentionModel:
         """Full-batch Adam on the log loss."""
         self.mean, self.scale = x.mean(0), x.std(0) + 1e-3
-        p, n, begin = self.p, np.diff(span), span[:-1]
-        m, v = ({k: np.zeros_like(q) for k, q in p.items()} for _ in range(2))
+        m, v = ({k: np.zeros_like(q) for k, q in self.p.items()} for _ in range(2))
         for step in range(1, steps + 1):
-            f = self.forward(x, span)
-            dy = (f["y"] - y) / len(y)
-            dbag = np.repeat(dy[:, None] * p["c"], n, axis=0)
-            da = (dbag * f["h"]).sum(1)
-            de = f["a"] * (da - np.repeat(np.add.reduceat(f["a"] * da, begin), n))
-            dt, dg = de[:, None] * p["w"] * f["g"] * (1 - f["t"] ** 2), de[:, None] * p["w"] * f["t"] * f["g"] * (1 - f["g"])
-            dh = (dbag * f["a"][:, None] + dt @ p["V"].T + dg @ p["U"].T) * (1 - f["h"] ** 2)
-            grad = {"W": f["z"].T @ dh, "b": dh.sum(0), "V": f["h"].T @ dt, "U": f["h"].T @ dg, "w": (f["t"] * f["g"]).T @ de, "c": f["bag"].T @ dy, "d": dy.sum(keepdims=True)}
-            for k, q in p.items():
+            grad = self.gradient(x, span, y)
+            for k, q in self.p.items():
                 d = grad[k] + decay * q
                 m[k] = 0.9 * m[k] + 0.1 * d
                 v[k] = 0.99 * v[k] + 0.01 * d * d

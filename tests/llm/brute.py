@@ -227,3 +227,39 @@ def one_substitution(pairs, order):
         chosen.add((x, y))
         votes = {v: n for v, n in votes.items() if v[0] != x and v[1] != y}
     return sum(set(zip(a, b, strict=True)) <= chosen for a, b in pairs)
+
+
+def passage_features(text, kinds, n_kinds, size, hashed, word_hash):
+    """Features of each passage of a text, word by word."""
+    raw = (text or "").encode()
+    words = [m.span() for m in re.finditer(rb"[^\x20\x09-\x0D]+", raw)]
+    said = [raw[a:b] for a, b in words]
+    out = []
+    for first in range(0, len(words), size):
+        part = range(first, min(first + size, len(words)))
+        body = raw[words[first][0] : words[first + size][0] if first + size < len(words) else len(raw)]
+        n = len(part)
+        row = [sum(kinds[c] == k for c in body) / len(body) for k in range(n_kinds)]
+        row += [math.log1p(n) / 5, sum(len(said[i]) for i in part) / n / 10, sum(len(said[i]) == 1 for i in part) / n, sum(len(said[i]) > 20 for i in part) / n]
+        row += [sum(i >= lag and said[i] == said[i - lag] for i in part) / n for lag in (1, 2, 3)]
+        row.append(sum(65 <= said[i][0] <= 90 for i in part) / n)
+        bins = [0] * hashed
+        for i in part:
+            h = word_hash(said[i])
+            bins[(h >> 5) % hashed] += 1 - 2 * (h & 1)
+        out.append(row + [x / n for x in bins])
+    return out or [[0.0] * (n_kinds + 8 + hashed)]
+
+
+def attention_score(rows, mean, scale, p):
+    """The score of one bag of passages, with plain loops."""
+    dot = lambda v, m, j: sum(float(a) * float(r[j]) for a, r in zip(v, m, strict=True))
+    sigmoid = lambda v: 1 / (1 + math.exp(-v))
+    hidden, weights = [], []
+    for x in rows:
+        z = [max(-8.0, min(8.0, (a - float(m)) / float(s))) for a, m, s in zip(x, mean, scale, strict=True)]
+        h = [math.tanh(dot(z, p["W"], j) + float(p["b"][j])) for j in range(len(p["b"]))]
+        hidden.append(h)
+        weights.append(math.exp(sum(math.tanh(dot(h, p["V"], j)) * sigmoid(dot(h, p["U"], j)) * float(p["w"][j]) for j in range(len(p["w"])))))
+    bag = [sum(a * h[j] for a, h in zip(weights, hidden, strict=True)) / sum(weights) for j in range(len(hidden[0]))]
+    return sigmoid(sum(a * float(c) for a, c in zip(bag, p["c"], strict=True)) + float(p["d"][0]))

@@ -600,17 +600,43 @@ def test_quality_learns_and_scores_whole_texts(spark):
 
 
 def test_quality_gradient():
-    """Backpropagation equals finite differences."""
+    """Backpropagation equals finite differences, and fitting lowers the loss."""
     r = np.random.default_rng(1)
-    x, span, y = r.standard_normal((9, quality.N_FEATURES)).astype(np.float32), np.array([0, 2, 5, 9]), np.array([1, 0, 1], np.float32)
+    x, span, y = r.standard_normal((9, quality.N_FEATURES)), np.array([0, 2, 5, 9]), np.array([1, 0, 1], float)
     loss = lambda m: -np.mean(y * np.log(m.forward(x, span)["y"]) + (1 - y) * np.log(1 - m.forward(x, span)["y"]))
     m = quality.AttentionModel()
-    m.p["c"] = r.standard_normal(quality.HIDDEN).astype(np.float32)
+    m.p = {k: q.astype(float) for k, q in m.p.items()}
+    m.p["c"] = r.standard_normal(quality.HIDDEN)
+    grad, step = m.gradient(x, span, y), 1e-6
+    for k, q in m.p.items():
+        for at in r.permutation(q.size)[:12]:
+            side = []
+            for s in (step, -step):
+                q.flat[at] += s
+                side.append(loss(m))
+                q.flat[at] -= s
+            assert abs((side[0] - side[1]) / (2 * step) - grad[k].flat[at]) < 1e-7
     before = loss(m)
     m.fit(x, span, y, steps=60, rate=0.01)
     assert loss(m) < before / 4
 
 
+def test_quality_against_plain_scores(spark):
+    """Passages, features and gated attention of whole texts, repeated rows and a very long text included."""
+    r = random.Random(21)
+    odd = ["", " \n\t", "One", "a a a b a b", "Zoë café — 99% & $5!\n\n(x) #tag", "w" * 50 + " " + "7 " * 130, prose(r, 64), prose(r, 65), prose(r, 128), prose(r, 6_000)]
+    texts = list(enumerate([None, *odd, *odd[2:5], *(prose(r, r.randrange(300)) + "!?" * (k % 3) for k in range(40))])) + [(None, "no id"), (4, "id again")]
+    df = docs_frame(spark, texts)
+    model = quality.fit_quality(df, spark.createDataFrame([(i, i % 2) for i in range(50)], "doc_id long, quality int"))
+    word_hash = lambda w: int(common.word_hashes(np.frombuffer(w, np.uint8), np.array([0]), np.array([len(w)]))[0])
+    rows = lambda t: brute.passage_features(t, quality._KINDS, quality.N_KINDS, quality.PASSAGE, quality.HASHED, word_hash)
+    plain = lambda t: brute.attention_score(rows(t), model.mean, model.scale, model.p)
+    want = sorted((-1 if d is None else d, plain(t)) for d, t in texts)
+    got = sorted((-1 if x["doc_id"] is None else x["doc_id"], x["score"]) for x in quality.score_quality(df, model).collect())
+    assert [d for d, _ in got] == [d for d, _ in want] and np.allclose([s for _, s in got], [s for _, s in want], atol=1e-4)
+    assert max(s for _, s in want) - min(s for _, s in want) > 0.3
+
+
 def test_materialized_tables_keep_rows(spark):
     assert materialize(spark.range(5), "x").count() == 5
 
